@@ -204,7 +204,7 @@ def pack(cut_pieces: DataFrame, window: int = 2048, width: int = 16, deep: int =
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "start", "ids_crc32"], kind="stable").reset_index(drop=True)
         sequence, offset = pack_group(pdf["length"].to_numpy(), repeats, window, width)
-        return pdf.drop(columns="part").assign(sequence_id=sequence + (pdf["part"].astype("int64") << 32), offset=offset)
+        return pdf.drop(columns="part").assign(sequence_id=sequence + pdf["part"].astype("int64") * (1 << 32), offset=offset)
 
     part = F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups)).cast("int")
     return cut_pieces.withColumn("part", part).groupBy("part").applyInPandas(run, PIECE + ", sequence_id long, offset long")
