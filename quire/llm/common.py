@@ -74,3 +74,37 @@ def arrow_schema(ddl: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     return to_arrow_schema(T.StructType.fromDDL(ddl))
+
+#: Stands for a null doc_id inside operators that join on it; the smallest long, so it comes first.
+NO_ID = -(1 << 63)
+
+
+def prepared(docs: DataFrame) -> DataFrame:
+    """(doc_id, text), one row for each doc_id: rows that share an id are one document with the smallest of their texts.
+
+    A null doc_id is an id like any other (see ``restored``); a null text counts as empty.
+    """
+    d = docs.select(F.coalesce(F.col("`doc_id`").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce(F.col("`text`"), F.lit("")).alias("text"))
+    if d.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        d = d.groupBy("doc_id").agg(F.min("text").alias("text"))
+    return d
+
+
+def restored(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.nullif(F.col(c), F.lit(NO_ID)) for c in columns or ("doc_id",)})
+
+
+def ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All integers of the ranges [begin, end), and the range that each comes from."""
+    n = np.maximum(end - begin, 0)
+    total = np.cumsum(n)
+    of = np.repeat(np.arange(len(n)), n)
+    return np.arange(total[-1] if len(n) else 0) - np.repeat(total - n, n) + begin[of], of
+
+
+def runs(*keys: np.ndarray) -> np.ndarray:
+    """True where sorted key columns differ from the row before."""
+    new = np.ones(len(keys[0]), bool)
+    if len(new):
+        new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return new

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, media, near, packing, topk
+from quire.llm import bpe, media, near, packing, repeats, topk
 
 MULTI_RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PACKING_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
@@ -33,6 +33,10 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors.where(F.col("vec_id") % 50 == 0), vectors, k=5)
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated_spans(table(spark, sf_dir, "documents"), length=100)
+
+
 def op8_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
 
@@ -55,7 +59,7 @@ def packing_of(docs: DataFrame) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_media": op1_media, "op2_topk": op2_topk, "op8_near": op8_near, "op9_bpe": op9_bpe, "op10_packing": op10_packing}
+    return {"op1_media": op1_media, "op2_topk": op2_topk, "op3_repeats": op3_repeats, "op8_near": op8_near, "op9_bpe": op9_bpe, "op10_packing": op10_packing}
 
 
 TOPK_SQL = """
