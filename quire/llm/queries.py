@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, media, near, packing, repeats, topk
+from quire.llm import bpe, language, media, near, packing, repeats, topk
 
 MULTI_RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PACKING_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
@@ -37,6 +37,10 @@ def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeated_spans(table(spark, sf_dir, "documents"), length=100)
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_id(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op8_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
 
@@ -59,7 +63,7 @@ def packing_of(docs: DataFrame) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_media": op1_media, "op2_topk": op2_topk, "op3_repeats": op3_repeats, "op8_near": op8_near, "op9_bpe": op9_bpe, "op10_packing": op10_packing}
+    return {"op1_media": op1_media, "op2_topk": op2_topk, "op3_repeats": op3_repeats, "op4_language": op4_language, "op8_near": op8_near, "op9_bpe": op9_bpe, "op10_packing": op10_packing}
 
 
 TOPK_SQL = """
