@@ -66,15 +66,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def schema(ddl: str) -> T.StructType:
-    return T._parse_datatype_string(ddl)
+_SCALARS = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64(), "binary": pa.binary()}
 
 
 def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow schema of "name type, ..."; scalar types need no session, so executors can use it too."""
+    parts = [x.strip().split(" ") for x in ddl.split(",")]
+    if all(len(x) == 2 and x[1] in _SCALARS for x in parts):
+        return pa.schema([(name.strip("`"), _SCALARS[kind]) for name, kind in parts])
     from pyspark.sql.pandas.types import to_arrow_schema
 
     return to_arrow_schema(T.StructType.fromDDL(ddl))
 
+
 #: Stands for a null doc_id inside operators that join on it; the smallest long, so it comes first.
 NO_ID = -(1 << 63)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, language, media, near, packing, repeats, topk
+from quire.llm import bpe, language, media, near, packing, repeats, suffix_tree, topk
 
 MULTI_RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PACKING_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
@@ -41,6 +41,11 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op7_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return suffix_tree.suffix_tree_scores(docs.select("doc_id", "text", (language.remainder("doc_id", 5) == 1).alias("held_out")))
+
+
 def op8_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
 
@@ -63,7 +68,7 @@ def packing_of(docs: DataFrame) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_media": op1_media, "op2_topk": op2_topk, "op3_repeats": op3_repeats, "op4_language": op4_language, "op8_near": op8_near, "op9_bpe": op9_bpe, "op10_packing": op10_packing}
+    return {"op1_media": op1_media, "op2_topk": op2_topk, "op3_repeats": op3_repeats, "op4_language": op4_language, "op7_suffix_tree": op7_suffix_tree, "op8_near": op8_near, "op9_bpe": op9_bpe, "op10_packing": op10_packing}
 
 
 TOPK_SQL = """
