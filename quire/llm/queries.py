@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, language, media, near, packing, repeats, suffix_tree, topk
+from quire.llm import bpe, chat, language, lines, media, near, packing, repeats, suffix_tree, topk
 
 MULTI_RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PACKING_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
@@ -41,6 +41,15 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.line_dedup(table(spark, sf_dir, "documents"), min_lines=2)
+    return found.select("doc_id", "n_lines", "n_removed", "n_runs", "longest_run", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.link_quotations(table(spark, sf_dir, "conversations"))
+
+
 def op7_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return suffix_tree.suffix_tree_scores(docs.select("doc_id", "text", (language.remainder("doc_id", 5) == 1).alias("held_out")))
@@ -68,7 +77,7 @@ def packing_of(docs: DataFrame) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_media": op1_media, "op2_topk": op2_topk, "op3_repeats": op3_repeats, "op4_language": op4_language, "op7_suffix_tree": op7_suffix_tree, "op8_near": op8_near, "op9_bpe": op9_bpe, "op10_packing": op10_packing}
+    return {"op1_media": op1_media, "op2_topk": op2_topk, "op3_repeats": op3_repeats, "op4_language": op4_language, "op5_lines": op5_lines, "op6_chat": op6_chat, "op7_suffix_tree": op7_suffix_tree, "op8_near": op8_near, "op9_bpe": op9_bpe, "op10_packing": op10_packing}
 
 
 TOPK_SQL = """
@@ -85,5 +94,28 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+LINES_SQL = """
+WITH l AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+), w AS (
+  SELECT doc_id, i, ls[i] || chr(10) || ls[i + 1] AS u FROM (SELECT doc_id, ls, unnest(range(1, len(ls))) AS i FROM l)
+), later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY u ORDER BY doc_id, i) AS r FROM w WHERE regexp_matches(u, '\\S')) WHERE r > 1
+), gone AS (
+  SELECT DISTINCT doc_id, i FROM (SELECT doc_id, i FROM later UNION ALL SELECT doc_id, i + 1 FROM later)
+), runs AS (
+  SELECT doc_id, count(*) AS n FROM (SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS g FROM gone) GROUP BY doc_id, g
+), totals AS (
+  SELECT doc_id, sum(n)::BIGINT AS n_removed, count(*) AS n_runs, max(n) AS longest_run FROM runs GROUP BY doc_id
+), kept AS (
+  SELECT e.doc_id, string_agg(e.line, chr(10) ORDER BY e.i) AS t
+  FROM (SELECT doc_id, unnest(range(1, len(ls) + 1)) AS i, unnest(ls) AS line FROM l) e ANTI JOIN gone g ON g.doc_id = e.doc_id AND g.i = e.i GROUP BY e.doc_id
+)
+SELECT l.doc_id, len(ls)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_runs, 0)::BIGINT AS n_runs,
+       coalesce(longest_run, 0)::BIGINT AS longest_run, sha256(coalesce(t, '')) AS kept_sha256
+FROM l LEFT JOIN totals USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_topk": TOPK_SQL}
+    return {"op2_topk": TOPK_SQL, "op5_lines": LINES_SQL}
