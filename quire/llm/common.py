@@ -32,6 +32,16 @@ def cut(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cut_by(df: DataFrame, key: str, parts: int, name: str) -> DataFrame:
+    """Cut the lineage and keep the rows dealt by ``key`` into ``parts`` buckets, so that joins on it need no shuffle.
+
+    ``df`` should be dealt by ``key`` into as many partitions already; each then writes one file.
+    """
+    label = f"quire_{name}_{uuid.uuid4().hex}"
+    df.write.format("parquet").option("compression", "zstd").option("path", f"{shared_dir(df.sparkSession)}/{label}").bucketBy(parts, key).saveAsTable(label)
+    return df.sparkSession.table(label)
+
+
 def named(df: DataFrame, *columns: str) -> DataFrame:
     """Only the columns an operator needs, so that extra columns of any name cannot clash."""
     return df.select(*[F.col(f"`{c}`") for c in columns])

@@ -1,21 +1,22 @@
 """Repeated strings of a corpus by prefix-free parsing.
 
-A rolling hash over ``TRIGGER`` bytes starts a phrase wherever it falls below a threshold, so equal
-strings are parsed equally.  A string of ``length`` bytes whose first trigger lies at offset t is a
-phrase suffix of t bytes followed by the next ``length - t`` bytes of the parse; two such strings are
-equal if both parts are.  The suffixes of the parse therefore fall into classes that agree on the next
-bytes (equal first ``core`` bytes, then equal phrase suffix and whole context), and those classes are
-what a suffix array of dictionary and parse delimits by common prefixes of ``length`` bytes.  Only the
-classes matter for removal, so they are kept by 64-bit or 128-bit fingerprints in place of sorted ranks.
+A rolling hash over ``TRIGGER`` bytes starts a phrase wherever it is the least of a neighbourhood, so
+equal strings are parsed equally and no phrase is longer than the neighbourhood.  A string of
+``length`` bytes holds the trigger that is least among its first ``reach`` positions, at offset t: it is
+a phrase suffix of t bytes followed by the next ``length - t`` bytes of the parse, and two such strings
+are equal if both parts are.  The suffixes of the parse therefore fall into classes that agree on the
+next bytes (equal first ``core`` bytes, then equal phrase suffix and whole context), and those classes
+are what a suffix array of dictionary and parse delimits by common prefixes of ``length`` bytes.  Only
+the classes matter for removal, so they are kept by fingerprints in place of sorted ranks.
 
 Passes:
 1. every phrase start sends a short fingerprint of its core; starts whose core occurs once are done;
 2. the others send core and whole context (phrase suffix and ``length`` bytes): a context that occurs
    earlier is repeated as a whole; the first of several different contexts of one core is an edge;
 3. edges send the fingerprint of each of their strings, and later ones are repeats.
-Strings without a trigger among their first offsets are sent singly in passes 1 and 2.
 Chunks of documents send each fingerprint once (the rest is settled on the spot), packed into one
 binary row for each bucket; buckets are dealt by fingerprint, so a very common passage is spread out.
+Fingerprints that decide a removal have 128 bits.
 
 Null texts count as empty; texts shorter than ``length`` keep all bytes; ties cannot arise, since
 (doc_id, start) orders all strings.  Rows that share a doc_id are one document (``common.prepared``).
@@ -37,59 +38,47 @@ from quire.llm.common import mix, ranges, runs
 from quire.llm.shingles import prefix_hash, span_hash
 
 TRIGGER = 8
-#: One position in so many starts a phrase.
-MEAN_PHRASE = 15
 CHUNK = 2 << 20
-_SPREAD = np.uint64(0xD6E8FEB86659FD93)
+
+
+def least_of(h: np.ndarray, reach: int) -> np.ndarray:
+    """For every position the first of the least of the next ``reach`` hashes (positions below 2**31)."""
+    n = len(h)
+    blocks = -(-(n + reach) // reach)
+    key = np.full(blocks * reach, np.iinfo(np.uint64).max, np.uint64)
+    key[:n] = (h & ~np.uint64(0x7FFFFFFF)) | np.arange(n, dtype=np.uint64)
+    grid = key.reshape(blocks, reach)
+    ahead = np.minimum.accumulate(grid, axis=1).reshape(-1)  # the least from a block's begin
+    behind = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].reshape(-1)  # the least up to a block's end
+    return (np.minimum(behind[:n], ahead[reach - 1 : n + reach - 1]) & np.uint64(0x7FFFFFFF)).astype(np.int64)
 
 
 class Parse:
-    """The phrase starts of some documents and the strings that belong to each."""
+    """The phrase starts of some documents and the strings [low, high] that belong to each."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, length: int, core: int):
         self.offsets, self.length, self.core = offsets, length, core
         self.c = c = prefix_hash(data)
-        n, reach = len(data), length - core
+        n, reach = len(data), length - core + 1
         at = np.arange(max(0, n - TRIGGER + 1))
-        low = span_hash(c, at, at + TRIGGER) * _SPREAD < np.uint64((1 << 64) // MEAN_PHRASE)
-        a = np.flatnonzero(low)
-        doc = np.searchsorted(offsets, a, side="right") - 1
-        fits = a + TRIGGER <= offsets[doc + 1]
-        a, doc = a[fits], doc[fits]
-        begin, end = offsets[doc], offsets[doc + 1]
-        before = np.append(-1, a[:-1])
-        before = np.where(before >= begin, before, begin - 1)
-        low_t, high_t = np.maximum(0, length - (end - a)), np.minimum(reach, a - before - 1)
-        # Strings without a trigger among their first reach + 1 offsets: before a late start, and at a document's end.
-        last = offsets[:-1] - 1
-        if len(a):
-            final = np.flatnonzero(np.append(doc[1:] != doc[:-1], True))
-            last = last.copy()
-            last[doc[final]] = a[final]
-        from_, to = np.append(before + 1, last + 1), np.append(np.minimum(a - reach, end - length + 1), offsets[1:] - length + 1)
-        single, of = ranges(from_, to)
-        use = low_t <= high_t
-        self.start, self.doc, self.low_t, self.high_t = a[use], doc[use], low_t[use], high_t[use]
-        self.single = single
-        self.single_doc = np.append(doc, np.arange(len(offsets) - 1))[of]
+        least = least_of(mix(span_hash(c, at, at + TRIGGER)), reach)
+        first = offsets[:-1]
+        s, doc = ranges(first, offsets[1:] - length + 1)  # every string of every document
+        a = least[s]
+        new = np.flatnonzero(runs(a, doc))
+        self.start, self.doc = a[new], doc[new]
+        self.low, self.high = s[new], s[np.append(new[1:], len(s)) - 1] if len(new) else s[:0]
 
     def marks(self) -> tuple[np.ndarray, np.ndarray]:
-        """For all starts and then all single strings: the document, and twice the offset in it (single strings: plus 1)."""
-        doc = np.append(self.doc, self.single_doc)
-        at = np.append(self.start, self.single)
-        mark = (at - self.offsets[doc]) * 2
-        mark[len(self.start) :] += 1
-        return doc, mark
+        """For all starts: the document, and the offset in it."""
+        return self.doc, self.start - self.offsets[self.doc]
 
     def core_keys(self) -> np.ndarray:
-        one = mix(span_hash(self.c, self.start, self.start + self.core))
-        return np.append(one, mix(span_hash(self.c, self.single, self.single + self.length) + np.uint64(1)))
+        return mix(span_hash(self.c, self.start, self.start + self.core))
 
     def context_keys(self) -> np.ndarray:
-        a, low, high = self.start, self.low_t, self.high_t
-        shape = (low * 1024 + high + 1).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
-        one = mix(span_hash(self.c, a - high, a + self.length - low) + shape)
-        return np.append(one, mix(span_hash(self.c, self.single, self.single + self.core) + np.uint64(2)))
+        shape = ((self.start - self.low) * 1024 + self.high - self.low + 1).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
+        return mix(span_hash(self.c, self.low, self.high + self.length) + shape)
 
     def string_keys(self, start: np.ndarray) -> np.ndarray:
         return mix(span_hash(self.c, start, start + self.length) + np.uint64(3))
@@ -175,7 +164,7 @@ def _reduced(frame: DataFrame, work: Callable[[list[bytes], list[bytes]], Iterat
 
 
 def _chosen(parse: Parse, marks: list[np.ndarray]) -> np.ndarray:
-    """Which of the parse's starts and single strings are named by the documents' marks."""
+    """Which of the parse's starts are named by the documents' marks."""
     doc, mark = parse.marks()
     wanted = np.concatenate([np.zeros(0, np.int64), *[(d << 33) + m for d, m in enumerate(marks) if len(m)]])
     return np.isin((doc << 33) + mark, wanted)
@@ -191,7 +180,8 @@ def repeated_spans(docs: DataFrame, length: int = 100, with_text: bool = False,
     """
     if length < 48:
         raise ValueError("length must be 48 or more")
-    core = length * 9 // 25
+    core = length * 23 // 50
+    spark = docs.sparkSession
     docs = common.prepared(docs)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(total / bucket_bytes))
@@ -218,11 +208,13 @@ def repeated_spans(docs: DataFrame, length: int = 100, with_text: bool = False,
 
     flagged = _reduced(_mapped(docs, cores, ROWS, 0), shared_cores, "doc_id long, marks binary")
     flags = flagged.groupBy("doc_id").agg(F.collect_list("marks").alias("marks"))
-    joined = docs.join(flags, "doc_id", "left").select("doc_id", "text", "marks")
+    # Texts are dealt by document once and stored that way, so that later passes meet them without a shuffle.
+    parts = max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    joined = docs.repartition(parts, "doc_id").join(flags.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "marks")
     clean = F.col("marks").isNull()
     # Documents without a shared core are done; only the others keep their text for the later passes.
     stored = joined.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.when(clean, F.sha2(F.col("text").cast("binary"), 256)).alias("kept_sha256"), *([F.col("text")] if with_text else [F.when(~clean, F.col("text")).alias("text")]), "marks")
-    stored = common.cut(stored, "flagged")
+    stored = common.cut_by(stored, "doc_id", parts, "flagged")
     open_ = stored.where("kept_sha256 is null").select("doc_id", "text", "marks")
 
     def contexts(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray, marks: list) -> Iterator[tuple]:
@@ -242,7 +234,7 @@ def repeated_spans(docs: DataFrame, length: int = 100, with_text: bool = False,
         first = runs(key, context)
         group = np.cumsum(runs(key)) - 1
         contexts_of = np.bincount(group, first)[group] if len(key) else np.zeros(0)
-        edge = first & (contexts_of > 1) & (mark % 2 == 0)
+        edge = first & (contexts_of > 1)
         more, marks = unpack(known, "<u4")
         hit = np.flatnonzero(~first | edge)
         return np.append(ids[hit], more), np.append(mark[hit], marks), np.append(edge[hit].astype(np.int64), np.zeros(len(more), np.int64))
@@ -253,7 +245,7 @@ def repeated_spans(docs: DataFrame, length: int = 100, with_text: bool = False,
     def strings(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray, marks: list) -> Iterator[tuple]:
         parse = Parse(data, offsets, length, core)
         use = np.flatnonzero(_chosen(parse, marks[0]))
-        start, of = ranges(parse.start[use] - parse.high_t[use], parse.start[use] - parse.low_t[use] + 1)
+        start, of = ranges(parse.low[use], parse.high[use] + 1)
         doc = parse.doc[use][of]
         key, more = parse.string_keys(start), parse.core_keys()[use][of]
         at = start - offsets[doc]
@@ -269,21 +261,19 @@ def repeated_spans(docs: DataFrame, length: int = 100, with_text: bool = False,
         told, starts = unpack(known, "<u4")
         return np.append(ids[hit], told), np.append(at[hit], starts)
 
-    singles = _reduced(_mapped(open_.select("doc_id", "text").join(edges, "doc_id"), strings, ROWS, 1), later_strings, "doc_id long, starts binary")
+    singles = _reduced(_mapped(open_.select("doc_id", "text").join(edges.hint("shuffle_hash"), "doc_id"), strings, ROWS, 1), later_strings, "doc_id long, starts binary")
     whole = verdicts.where(F.octet_length("repeated") > 0).groupBy("doc_id").agg(F.collect_list("repeated").alias("repeated"))
     starts = singles.groupBy("doc_id").agg(F.collect_list("starts").alias("starts"))
-    last = open_.select("doc_id", "text").join(whole, "doc_id", "left").join(starts, "doc_id", "left")
+    last = open_.select("doc_id", "text").join(whole.hint("shuffle_hash"), "doc_id", "left").join(starts.hint("shuffle_hash"), "doc_id", "left")
 
     ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * with_text
 
     def assembled(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray, marks: list) -> Iterator[tuple]:
         parse = Parse(data, offsets, length, core)
-        hit = _chosen(parse, marks[0])
-        n = len(parse.start)
-        at = np.flatnonzero(hit[:n])
+        at = np.flatnonzero(_chosen(parse, marks[0]))
         step = np.zeros(len(data) + 1, np.int64)
-        from_ = [parse.start[at] - parse.high_t[at], parse.single[hit[n:]], *[offsets[d] + m for d, m in enumerate(marks[1]) if len(m)]]
-        to = [parse.start[at] - parse.low_t[at] + length, *[x + length for x in from_[1:]]]
+        from_ = [parse.low[at], *[offsets[d] + m for d, m in enumerate(marks[1]) if len(m)]]
+        to = [parse.high[at] + length, *[x + length for x in from_[1:]]]
         np.add.at(step, np.concatenate(from_), 1)
         np.subtract.at(step, np.concatenate(to), 1)
         gone = np.cumsum(step[:-1]) > 0
