@@ -6,9 +6,9 @@
    ``overlap(k)`` shared values have a probability below 1e-7 at s = 0.8 and k = 40.  A class whose
    shared values are fewer than that has no partner; of the others only the rarest values are listed
    that any partner must hit (prefix filtering with the overlap as threshold).
-3. Each list proposes its members to its smallest member; short lists then propose all pairs that are
-   not connected yet; long lists take further members as pivots until all pairs that are not connected
-   have been proposed.  No list is collected, capped or skipped.
+3. Short lists propose all pairs.  Long lists propose their members to a few of them first; then members
+   outside a list's largest component become pivots, ever more of them, until all pairs that are not
+   connected have been proposed.  No list is collected, capped or skipped.
 4. Proposals pass the size bound and the similarity estimated from the union of both sketches; exact
    Jaccard on the full shingle sets confirms each link.
 
@@ -92,33 +92,36 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
 
 
 class _Search:
-    """The state of one run: classes, lists, links found so far and the components they make."""
+    """The state of one run: sketches, texts, links found so far and the components they make."""
 
-    def __init__(self, classes: DataFrame, lists: DataFrame, texts: DataFrame, width: int, percent: int, k: int):
-        self.classes, self.lists, self.texts = classes, lists, texts
+    def __init__(self, classes: DataFrame, texts: DataFrame, width: int, percent: int, k: int):
+        self.classes, self.texts = classes, texts
         self.width, self.percent, self.k = width, percent, k
         self.links: DataFrame | None = None
         self.of: DataFrame | None = None  # node, component
 
-    def labelled(self) -> DataFrame:
+    def labelled(self, lists: DataFrame) -> DataFrame:
         """The lists with each member's component."""
-        if self.of is None:
-            return self.lists.withColumn("comp", F.col("rep"))
-        return self.lists.join(self.of.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep")).drop("component")
+        return lists.join(self.of.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep")).drop("component")
+
+    def alike(self, a: Column | str, b: Column | str) -> Column:
+        """Whether two set sizes allow the similarity."""
+        return 100 * F.least(a, b) >= self.percent * F.greatest(a, b)
 
     def test(self, pairs: DataFrame) -> None:
         """Estimate, verify and merge the links among candidate pairs (a < b)."""
         c, k = self.classes, self.k
-        left = c.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-        right = c.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+        left = c.select(F.col("rep").alias("a"), F.col("sketch").alias("sa"))
+        right = c.select(F.col("rep").alias("b"), F.col("sketch").alias("sb"))
         near = pairs.distinct().join(left, "a").join(right, "b")
-        near = near.where(100 * F.least("na", "nb") >= self.percent * F.greatest("na", "nb"))
         union = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, k)
         same = F.size(F.array_intersect(F.array_intersect("sa", "sb"), union))
-        near = near.where(same >= F.floor(F.size(union) * SHARE)).select("a", "b")
+        near = common.cut(near.where(same >= F.floor(F.size(union) * SHARE)).select("a", "b"), "near")
         found = common.cut(verified(near, self.texts, self.width, self.percent), "links")
-        self.links = found if self.links is None else self.links.unionByName(found)
-        self.of = common.cut(components(self.links), "components")
+        new = found.limit(1).count() > 0
+        if self.links is None or new:
+            self.links = found if self.links is None else self.links.unionByName(found)
+            self.of = common.cut(components(self.links), "components")
 
 
 def classes_of(sketched: DataFrame) -> DataFrame:
@@ -128,16 +131,16 @@ def classes_of(sketched: DataFrame) -> DataFrame:
 
 
 def rare_lists(classes: DataFrame) -> DataFrame:
-    """(v, rep): for each class that can have a partner, the rarest shared values that any partner hits."""
-    postings = classes.select("rep", F.size("sketch").alias("s"), F.explode("sketch").alias("v"))
+    """(v, rep, n): for each class that can have a partner, the rarest shared values that any partner hits."""
+    postings = classes.select("rep", "n", F.size("sketch").alias("s"), F.explode("sketch").alias("v"))
     shared = postings.groupBy("v").agg(F.count("*").alias("c")).where("c > 1")
-    each = postings.join(shared, "v").groupBy("rep").agg(F.first("s").alias("s"), F.sort_array(F.collect_list(F.struct("c", "v"))).alias("vs"))  # k values at most
+    each = postings.join(shared, "v").groupBy("rep").agg(F.first("s").alias("s"), F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("c", "v"))).alias("vs"))  # k values at most
     need = overlap(F.col("s")).cast("int")
     viable = each.where(F.size("vs") >= need)
-    return viable.select("rep", F.explode(F.slice("vs", F.lit(1), F.size("vs") - need + 1)).alias("x")).select(F.col("x.v").alias("v"), "rep")
+    return viable.select("rep", "n", F.explode(F.slice("vs", F.lit(1), F.size("vs") - need + 1)).alias("x")).select(F.col("x.v").alias("v"), "rep", "n")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 40, short: int = 24, pivots: int = 16) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 40, short: int = 24, leaders: int = 4, pivots: int = 32) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every document.
 
     ``short`` divides lists whose pairs are all proposed at once from those that are worked off by
@@ -156,31 +159,34 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
         if clash:
             raise ValueError("a doc_id has several different texts")
         texts = common.cut(texts.dropDuplicates(["doc_id"]), "texts")
-    search = _Search(classes.select("rep", "n", "sketch"), lists, texts, width, percent, k)
+    search = _Search(classes.select("rep", "sketch"), texts, width, percent, k)
 
-    sizes = common.cut(lists.groupBy("v").agg(F.count("*").alias("c"), F.min("rep").alias("lead")).where("c > 1"), "sizes")
+    smallest = [F.min(F.struct(F.xxhash64("rep", F.lit(i)), "rep", "n"))["rep"].alias(f"p{i}") for i in range(1, leaders)]
+    sizes = lists.groupBy("v").agg(F.count("*").alias("c"), F.min("rep").alias("p0"), *smallest).where("c > 1")
     member = common.cut(lists.join(sizes, "v"), "members")
-    search.lists = member
-    search.test(member.where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")))
-
-    few = search.labelled().where(F.col("c") <= short)
-    x, y = few.select("v", F.col("rep").alias("a"), F.col("comp").alias("ca")), few.select("v", F.col("rep").alias("b"), F.col("comp").alias("cb"))
-    search.test(x.join(y, "v").where("a < b and ca <> cb").select("a", "b"))
-
-    # Long lists: members outside the component of the list's smallest member become pivots, a few at a time.
-    used = lists.select("v", "rep").limit(0)
+    few = member.where(F.col("c") <= short)
+    x, y = few.select("v", F.col("rep").alias("a"), F.col("n").alias("na")), few.select("v", F.col("rep").alias("b"), F.col("n").alias("nb"))
+    pairs = x.join(y, "v").where((F.col("a") < F.col("b")) & search.alike("na", "nb")).select("a", "b")
+    many = member.where(F.col("c") > short)
+    star = many.select("rep", F.explode(F.array_distinct(F.array(*[f"p{i}" for i in range(leaders)]))).alias("p")).where("rep <> p")
+    search.test(pairs.unionByName(star.select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b"))))
+
+    many = common.cut(many.select("v", "rep", "n"), "long")
+    used = many.select("v", "rep").limit(0)
     while True:
-        many = search.labelled().where(F.col("c") > short)
-        lead = many.where("rep = lead").select("v", F.col("comp").alias("main"))
-        outside = common.cut(many.join(lead, "v").where("comp <> main").join(used, ["v", "rep"], "left_anti"), "outside")
+        labelled = common.cut(search.labelled(many), "labelled")
+        largest = labelled.groupBy("v", "comp").agg(F.count("*").alias("k")).groupBy("v").agg(F.max(F.struct("k", "comp"))["comp"].alias("main"), F.sum("k").alias("c"))
+        outside = common.cut(labelled.join(largest, "v").where("comp <> main").join(used, ["v", "rep"], "left_anti"), "outside")
         if outside.limit(1).count() == 0:
             break
-        chosen = outside.groupBy("v").agg(F.min("rep").alias("p0"), *[F.min(F.struct(F.xxhash64("rep", F.lit(i)), "rep"))["rep"].alias(f"p{i}") for i in range(1, pivots)])
-        chosen = common.cut(chosen.select("v", F.explode(F.array_distinct(F.array(*[f"p{i}" for i in range(pivots)]))).alias("rep")), "pivots")
-        mine = chosen.join(outside.select("v", "rep", F.col("comp").alias("cp")), ["v", "rep"]).withColumnRenamed("rep", "pivot")
-        pairs = many.join(mine, "v").where("comp <> cp").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))
-        search.test(pairs)
-        used = common.cut(used.unionByName(chosen.select("v", "rep")), "used")
+        left = outside.groupBy("v").agg(F.count("*").alias("left"))
+        # A hash picks about as many pivots of each list as the round allows, and all if they are fewer.
+        share = F.pmod(F.xxhash64("v", "rep"), F.lit(1 << 20)) * F.col("left") < F.lit(pivots << 20)
+        chosen = common.cut(outside.join(left, "v").where(share | (F.col("left") <= pivots)).select("v", F.col("rep").alias("pivot"), F.col("n").alias("np"), F.col("comp").alias("cp")), "pivots")
+        met = labelled.join(chosen, "v").where((F.col("comp") != F.col("cp")) & search.alike("n", "np"))
+        search.test(met.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")))
+        used = common.cut(used.unionByName(chosen.select("v", F.col("pivot").alias("rep"))), "used")
+        pivots *= 8
 
     named = classes.select("set_key", "rep").join(search.of.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("set_key", F.coalesce("component", "rep").alias("c"))
