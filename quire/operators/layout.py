@@ -25,7 +25,7 @@ def column_order(boxes: DataFrame, least: int = 4) -> DataFrame:
             (F.count("*") >= least)
             & (F.count_if(left) >= K.COLUMN_LINES)
             & (F.count_if(right) >= K.COLUMN_LINES)
-            & F.coalesce(F.max(F.when(left, F.col("x1") <= middle + tol).cast("int") * 0 + F.when(left & (F.col("x1") > middle + tol), 1).otherwise(0)) == 0, F.lit(True))
+            & F.coalesce(F.max(F.when(left & (F.col("x1") > middle + tol), 1).otherwise(0)) == 0, F.lit(True))
             & F.coalesce(F.max(F.when(right & (F.col("x0") < middle - tol), 1).otherwise(0)) == 0, F.lit(True))
         ).alias("two_columns")
     )
