@@ -33,12 +33,12 @@ from quire.llm.shingles import word_hashes
 
 #: The end of text in place of a word's hash.
 END = np.uint64(0)
-PAGE = 4 << 20
+PAGE = 3 << 19
 PAGES = "page long, ids binary, held binary, first binary, words binary, tokens binary, sent binary"
 
 
 def pages(docs: DataFrame, held: str) -> DataFrame:
-    """Texts as rows of about 4 MB: document ids, folds, word offsets, distinct words, tokens and training counts."""
+    """Texts as rows of about 1.5 MB: document ids, folds, word offsets, distinct words, tokens and training counts."""
     out_schema = common.arrow_schema(PAGES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
