@@ -1,0 +1,272 @@
+"""Each operator against a brute-force version, with odd rows, ties, repeats, empty tables and clashing columns."""
+
+import hashlib
+import math
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quire.llm import bpe, chat, components, language, lines, media, near, packing, queries, repeats, suffix_tree, topk
+
+LOW = -(1 << 63)
+
+
+def by_id(rows):
+    return {r[0]: (r[1] or "").encode() for r in rows}
+
+
+def test_media_round_trip(docs, rows, empty):
+    got = {r.doc_id: r for r in media.store_texts(docs, with_media=True).collect()}
+    for key, text in by_id(rows).items():
+        r, payload = got[key], media.text_payload(text)
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256) == (len(text), len(payload), hashlib.sha256(payload).hexdigest())
+        assert len(payload) % 576 == 0 and payload and r.tail_crc32 == zlib.crc32(payload[-32:])
+        assert r.media_sha256 == hashlib.sha256(r.media).hexdigest() and r.media_bytes == len(r.media)
+        assert all(bytes(r.media)[k.start : k.start + k.length] == payload[i * 12 * 576 : i * 12 * 576 + 576] for i, k in enumerate(r.keyframes))
+    assert media.store_texts(empty).count() == 0
+
+
+def test_media_probe(spark):
+    good = media.mux(bytes(576 * 100))
+    frame = spark.createDataFrame([(1, bytearray(good)), (2, bytearray(b"junk")), (3, None), (4, bytearray(good[:200]))], "doc_id long, media binary")
+    got = {r.doc_id: r for r in media.probe(frame, "doc_id", "media").collect()}
+    assert got[1].codec == "raw " and got[1].n_samples == 100 and got[1].seconds == pytest.approx(100 / 24) and got[1].n_keyframes == 9
+    assert all(got[i].track == -1 and got[i].error for i in (2, 3) if i in got)
+    assert got[3].error
+
+
+def brute_topk(vectors, k=5):
+    out = set()
+    for q, x in vectors:
+        if q % 50 == 0:
+            best = sorted(((-sum(a * b for a, b in zip(x, y)), i) for i, y in vectors if i != q))[:k]
+            out |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
+    return out
+
+
+def test_topk(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(v) for v in rng.normal(size=8).astype("float32")]) for i in range(300)]
+    rows += [(300 + i, rows[7][1]) for i in range(40)]  # ties
+    bad = [(900, None), (901, [1.0] * 7 + [None]), (902, [float("nan")] * 8), (950, [float("inf")] * 8)]
+    frame = spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>")
+    v = topk.integer_vectors(frame, "vec_id", "embedding")
+    got = {tuple(r) for r in topk.top_k(v.where("vec_id % 50 = 0"), v, block=64, query_block=4).collect()}
+    assert got == brute_topk([(i, [math.floor(256 * float(np.float32(x))) for x in e]) for i, e in rows])
+    few = v.where("vec_id < 3")
+    assert topk.top_k(few.where("vec_id = 0"), few).count() == 2
+    assert topk.top_k(v.limit(0), v.limit(0)).count() == 0
+
+
+def brute_repeats(texts, length):
+    seen, out = set(), {}
+    for key in sorted(texts, key=lambda k: LOW if k is None else k):
+        b = texts[key]
+        step = np.zeros(len(b) + 1, int)
+        for s in range(len(b) - length + 1):
+            w = b[s : s + length]
+            if w in seen:
+                step[s] += 1
+                step[s + length] -= 1
+            seen.add(w)
+        gone = np.cumsum(step[:-1]) > 0
+        spans = int((gone[1:] & ~gone[:-1]).sum() + (len(gone) > 0 and gone[0]))
+        out[key] = (len(b), int(gone.sum()), spans, hashlib.sha256(bytes(np.frombuffer(b, np.uint8)[~gone])).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("length", [100, 64])
+def test_repeats(docs, rows, empty, length):
+    got = {r[0]: tuple(r)[1:5] for r in repeats.repeated_spans(docs, length, bucket_bytes=1 << 14).collect()}
+    assert got == brute_repeats(by_id(rows), length)
+    if length == 100:
+        assert repeats.repeated_spans(empty).count() == 0
+        texts = {r.doc_id: r.kept for r in repeats.repeated_spans(docs, with_text=True).select("doc_id", "kept").collect()}
+        assert texts[3] == "" and texts[15].startswith("zwölf") and texts[21] == ""
+
+
+def test_repeats_keep_characters(spark):
+    head = "é" * 100
+    frame = spark.createDataFrame([(1, "x" + head), (2, "yy" + head + "ü")], "doc_id long, text string")
+    r = repeats.repeated_spans(frame, with_text=True).where("doc_id = 2").first()
+    assert r.kept.startswith("yy") and r.kept.endswith("ü") and "�" not in r.kept
+
+
+def test_language(docs, rows, empty, spark):
+    english, german = "the quick brown fox jumps over the lazy dog and then the other one", "der schnelle braune fuchs springt über den faulen hund und dann noch einer"
+    made = [(i, f"{english if i % 2 else german} {i}", "en" if i % 2 else "de", "s") for i in range(60)] + [(100, None, "en", "s"), (101, "12 34 !!", None, "s"), (102, "the dog and the fox", None, "s")]
+    frame = spark.createDataFrame(made, "doc_id long, text string, lang string, lang_pred string")
+    got = {r.doc_id: r for r in language.language_id(frame).collect()}
+    assert all(got[i].lang_pred == ("en" if i % 2 else "de") for i in range(60)) and got[102].lang_pred == "en"
+    assert got[100].lang_pred == got[101].lang_pred == "und" and got[100].score == 0
+    assert all(got[i].held_out == (zlib.crc32(str(i).encode()) % 3 == 1) and 0 <= got[i].score <= 1 for i in got)
+    assert language.language_id(empty).count() == 0
+    assert {r.lang_pred for r in language.language_id(frame.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+
+
+def test_language_distance():
+    """The out-of-place distance of one text, by hand."""
+    ranks = {"a": {"x": 0, "_x": 1}, "b": {"y": 0}}
+    ranker = language._Ranker(ranks, 10, 2)
+    found = Counter(g for w in ["x"] for g in language.grams(w, 2))  # x, _x, x_ once each: all have rank 0
+    apart = sum(min(10, abs(ranks["a"][g] - 0)) if g in ranks["a"] else 10 for g in found)
+    assert ranker.predict("x") == ("a", pytest.approx(1 - apart / (10 * len(found))))
+
+
+def brute_lines(texts, size):
+    seen, out = set(), {}
+    for key in sorted(texts, key=lambda k: LOW if k is None else k):
+        ls = texts[key].decode().split("\n")
+        gone = set()
+        for i in range(len(ls) - size + 1):
+            w = tuple(ls[i : i + size])
+            if not "".join(w).split():
+                continue
+            if w in seen:
+                gone |= set(range(i, i + size))
+            seen.add(w)
+        runs = [i for i in gone if i - 1 not in gone]
+        out[key] = ("\n".join(x for i, x in enumerate(ls) if i not in gone), len(ls), len(gone), len(runs))
+    return out
+
+
+@pytest.mark.parametrize("size", [1, 2, 3])
+def test_lines(docs, rows, empty, size):
+    got = {r.doc_id: (r.text, r.n_lines, r.n_removed, r.n_runs) for r in lines.line_dedup(docs, size).collect()}
+    assert got == brute_lines(by_id(rows), size)
+    if size == 2:
+        assert lines.line_dedup(empty).count() == 0
+
+
+def test_chat(spark):
+    rows = [(1, 0, "a", "Hello there.\n\nHow do I sort a list?"), (1, 1, "b", "> How do I  sort a LIST?\nUse sorted().\nIt is stable."), (1, 2, "a", "On Monday b wrote:\n> > How do I sort a list?\n> Use sorted().\n> It is stable.\nThanks!"), (1, 3, "c", "unrelated"), (1, 4, "c", "> nothing known\nx"), (None, 0, None, None), (1, 5, "d", ">Thanks!\n:)"), (2, 1, "d", "> Thanks!"), (1, 3, "c", "unrelated")]
+    frame = spark.createDataFrame([(*r, 1, 2) for r in rows], "conv_id long, turn long, role string, text string, passage int, depth int")
+    got = {(r.conv_id, r.turn): (r.text, r.reply_to, r.thread, r.depth, r.n_quotes, r.n_linked) for r in chat.link_quotations(frame).collect()}
+    assert got[1, 1] == ("Use sorted().\nIt is stable.", 0, 0, 1, 1, 1)
+    assert got[1, 2] == ("Thanks!", 1, 0, 2, 2, 2)
+    assert got[1, 5] == (":)", 2, 0, 3, 1, 1)
+    assert got[1, 4] == ("x", None, 4, 0, 1, 0) and got[2, 1] == ("", None, 1, 0, 1, 0) and got[None, 0] == ("", None, 0, 0, 0, 0)
+    assert len(got) == 8 and chat.link_quotations(frame.limit(0)).count() == 0
+
+
+def test_suffix_tree(docs, rows, empty):
+    held = F.coalesce(F.col("doc_id") % 5 == 1, F.lit(False))
+    got = {r.doc_id: r for r in suffix_tree.suffix_tree_scores(docs.select("doc_id", "text", held.alias("held_out")), least_context=1e-3, divergence=5.0).collect()}
+    tokens = {k: [*t.lower().split(), None] for k, t in by_id(rows).items()}
+    c = Counter(x for k, w in tokens.items() if k is None or k % 5 != 1 for x in w)
+    n, v = sum(c.values()), len(c)
+    for k, w in tokens.items():
+        r = got[k]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(w), sum(c[x] > 0 for x in w), n)
+        assert r.base_score == pytest.approx(sum(math.log10((c[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w))
+        assert r.score < 0
+    assert suffix_tree.suffix_tree_scores(empty.select("doc_id", "text", F.lit(False).alias("held_out"))).count() == 0
+
+
+def test_tree_is_a_distribution():
+    """The next-symbol probabilities of every state sum to one, whatever was kept."""
+    rng = np.random.default_rng(1)
+    symbols = suffix_tree.Symbols(np.arange(10, 18, dtype=np.uint64), rng.integers(5, 50, 8), 400, 60, 20)
+    tree = suffix_tree.Tree(symbols)
+    tree.add([(2,), (3,)], np.array([0, 0, 1]), np.array([4, 5, 6]), np.array([7.0, 3.0, 9.0]), np.array([20.0, 11.0]), 4.0)
+    tree.add([(5, 3)], np.array([0]), np.array([6]), np.array([5.0]), np.array([6.0]), 4.0)
+    every = np.arange(len(symbols.root))
+    for state in range(len(tree.parent)):
+        assert np.exp(tree.log_p(np.full(len(every), state), every)).sum() == pytest.approx(1)
+
+
+def brute_near(texts, width, percent):
+    sets = {}
+    for k, t in texts.items():
+        w = t.lower().split()
+        sets[k] = {tuple(w[i : i + width]) for i in range(len(w) - width + 1)} or ({tuple(w)} if w else set())
+    up = {k: k for k in texts}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    order = sorted(texts, key=lambda k: LOW if k is None else k)
+    for i, a in enumerate(order):
+        for b in order[i + 1 :]:
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                x, y = sorted((root(a), root(b)), key=order.index)
+                up[y] = x
+    return {k: (len(sets[k]), root(k)) for k in texts}
+
+
+@pytest.mark.parametrize("width,short", [(2, 24), (5, 2)])
+def test_near(docs, rows, empty, width, short):
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near.near_duplicates(docs, width, 80, short=short, pivots=2).collect()}
+    assert got == brute_near(by_id(rows), width, 80)
+    if width == 2:
+        assert near.near_duplicates(empty).count() == 0
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (102, 100), (7, 7), (200, 200)]
+    got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100}
+
+
+def test_bpe(docs, rows, empty, spark):
+    tiktoken = pytest.importorskip("tiktoken")
+    tok = pytest.importorskip("public_tokenizers")
+    ranks = bpe.read_ranks(queries.tokenizer_path(queries.MULTI_RANKS))
+    reference = tiktoken.Encoding("own", pat_str=tok.PATTERN, mergeable_ranks=bpe.parse_ranks(ranks), special_tokens={})
+    odd = [(1000 + i, t) for i, t in enumerate(["'s", "x'll've", " 's  'd", "''re", "a \n\n b  c\t", "½²中文 1234", "a" * 5000 + " " * 700 + "b", "\x1c\x85 ", "<|endoftext|>"])]
+    frame = docs.select("doc_id", "text").unionByName(spark.createDataFrame(odd, "doc_id long, text string"))
+    got = {r.doc_id: r for r in bpe.encode_decode(frame, ranks, keep_ids=True).collect()}
+    for key, text in {**{r[0]: r[1] for r in rows}, **dict(odd)}.items():
+        ids = reference.encode_ordinary(text or "")
+        r = got[key]
+        assert r.ids == ids and r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest() and (r.ends[-1] if ids else 0) == len((text or "").encode())
+    assert bpe.encode_decode(empty, ranks).count() == 0
+
+
+def test_packing(docs, rows, empty, spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    reference = tokenizers.Tokenizer.from_file(queries.tokenizer_path(queries.PACKING_VOCABULARY))
+    frame = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(5000, "a <|endoftext|> b")], "doc_id long, text string"))
+    got = queries.packing_of(frame).toPandas()
+    texts = {**{r[0]: r[1] or "" for r in rows}, 5000: "a <|endoftext|> b"}
+    pieces = defaultdict(list)
+    for r in got.itertuples():
+        pieces[None if r.doc_id != r.doc_id else int(r.doc_id)].append(r)
+    for key, text in texts.items():
+        ids = np.array([*reference.encode(text, add_special_tokens=False).ids, 1], "<u4")
+        own = sorted(pieces[key], key=lambda r: r.start)
+        assert [r.start for r in own] == list(np.cumsum([0, *(r.length for r in own)])[:-1]) and sum(r.length for r in own) == len(ids)
+        assert all(zlib.crc32(ids[r.start : r.start + r.length].tobytes()) == r.ids_crc32 and r.doc_tokens == len(ids) for r in own)
+    for _, g in got.sort_values("offset").groupby("sequence_id"):
+        assert list(g["offset"]) == list(np.cumsum([0, *g["length"]])[:-1]) and g["length"].sum() <= 2048
+    assert queries.packing_of(empty).count() == 0
+
+
+def test_nnls():
+    rng = np.random.default_rng(2)
+    a = rng.random((12, 20))
+    x = np.maximum(rng.normal(size=20), 0)
+    got = packing.nnls(a, a @ x)
+    assert (got >= 0).all() and np.abs(a @ got - a @ x).max() < 1e-6
+    assert all(sum(c) == 16 and list(c) == sorted(c, reverse=True) for c in packing.combinations(16, 3))
+
+
+def test_pipeline(spark, docs, tmp_path):
+    import corpus_pipeline
+
+    docs.select(*corpus_pipeline.COLUMNS).write.parquet(str(tmp_path / "documents.parquet"))
+    kept = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    sizes = []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, str(tmp_path)).cache()
+        assert kept.columns == list(corpus_pipeline.COLUMNS)
+        assert kept.where("n_chars <> length(text) and n_chars is not null").count() == 0
+        sizes.append(kept.count())
+    assert sizes == sorted(sizes, reverse=True) and sizes[0] < docs.count() and sizes[2] < sizes[1]
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() >= sizes[-1]
