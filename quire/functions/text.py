@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from quire import constants as K
 
@@ -125,7 +126,7 @@ def normalise_ascii(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(c), "[^0-9a-zÀ-ɏ㐀-鿿]+", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def normalise(titles: pd.Series) -> pd.Series:
     """NFKD without combining marks, NFKC, casefold, other runs to one space; cut at NUL."""
 
