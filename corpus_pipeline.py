@@ -36,8 +36,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8) stays."""
-    kept = near.near_duplicates(docs, width=5, percent=80).where("kept").select("doc_id")
-    return _documents(docs).join(kept, "doc_id", "left_semi")
+    kept = near.near_duplicates(docs, width=5, percent=80).where("kept").select(F.coalesce("doc_id", F.lit(common.NO_ID)).alias("key"))
+    return _documents(docs).withColumn("key", F.coalesce("doc_id", F.lit(common.NO_ID))).join(kept, "key", "left_semi").drop("key")
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

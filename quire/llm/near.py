@@ -12,8 +12,9 @@
 4. Proposals pass the size bound and the similarity estimated from the union of both sketches; exact
    Jaccard on the full shingle sets confirms each link.
 
-Texts that are null, empty or without words have no shingles and link with nothing.  Repeated rows are
-copies like any other.  Ties cannot arise: components are named by their smallest id.
+Texts that are null, empty or without words have no shingles and link with nothing.  Rows that share a
+doc_id are one document (``common.prepared``) and give one row.  Ties cannot arise: components are named
+by their smallest id.
 """
 
 from __future__ import annotations
@@ -146,19 +147,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     ``short`` divides lists whose pairs are all proposed at once from those that are worked off by
     pivots; both ways propose every pair of members that is not connected.
     """
+    docs = common.prepared(docs)
     sketched = common.cut(sketches(docs, width, k), "sketches")
     classes = common.cut(classes_of(sketched), "classes")
     lists = common.cut(rare_lists(classes), "lists")
     wanted = lists.select(F.col("rep").alias("doc_id")).distinct()
-    # A repeated doc_id may carry different texts; the class's own text is the one with its set.
-    texts = common.cut(common.named(docs, "doc_id", "text").join(wanted, "doc_id", "left_semi"), "texts")
-    repeated = texts.groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
-    if repeated:
-        keyed = sketches(texts, width, k).select("doc_id", "set_key").distinct()
-        clash = keyed.groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
-        if clash:
-            raise ValueError("a doc_id has several different texts")
-        texts = common.cut(texts.dropDuplicates(["doc_id"]), "texts")
+    texts = common.cut(docs.join(wanted, "doc_id", "left_semi"), "texts")
     search = _Search(classes.select("rep", "sketch"), texts, width, percent, k)
 
     smallest = [F.min(F.struct(F.xxhash64("rep", F.lit(i)), "rep", "n"))["rep"].alias(f"p{i}") for i in range(1, leaders)]
@@ -192,4 +186,5 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     named = named.select("set_key", F.coalesce("component", "rep").alias("c"))
     joined = sketched.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("c")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"), (component == F.col("doc_id")).alias("kept"))
+    found = joined.select("doc_id", "n_shingles", component.alias("component_id"), (component == F.col("doc_id")).alias("kept"))
+    return common.restored(found, "doc_id", "component_id")
