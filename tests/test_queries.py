@@ -8,6 +8,8 @@ from quire.plans import oracle, queries
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+#: Queries whose result may be empty on the smallest tables.
+SPARSE = {"numbering_gaps"}
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
 
 
@@ -33,7 +35,7 @@ def plain(frame, columns):
 @pytest.mark.parametrize("name", sorted(queries.queries()))
 def test_query(spark, duck, name):
     got = queries.queries()[name](spark, DATA).toPandas()
-    assert len(got)
+    assert len(got) or name in SPARSE
     sql = oracle.oracle_sql().get(name)
     if sql:
         want = duck.execute(sql).df()
