@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.operators import chapters as C
 from quire.operators import citations as Q
 from quire.operators import corpus as B
 from quire.operators import layout as L
+from quire.operators import sequential as S
+from quire.plans import book as P
 from quire.plans import inputs as I
 from quire.plans.inputs import FILES, PAGE
 
@@ -35,6 +38,7 @@ IMAGES = "CAST(floor(l_orderkey / 4) AS BIGINT) AS book, CAST(l_orderkey % 4 AS
 CAPTIONS = "CAST(floor(o_orderkey / 4) AS BIGINT) AS book, CAST(o_orderkey % 4 AS INT) AS page, CAST(o_custkey AS BIGINT) AS caption, CAST(o_custkey % 780 AS DOUBLE) AS top, CAST(o_custkey % 780 + 12 AS DOUBLE) AS bottom"
 RASTERS = "CAST(floor(p_partkey / 20) AS BIGINT) AS book, CAST(p_partkey % 20 AS INT) AS page, CAST(CASE WHEN p_size % 3 = 0 THEN 1 ELSE 0 END AS BOOLEAN) AS full_page, p_partkey % 4 AS rasters, p_size AS text_blocks, p_partkey % 2 AS fonts"
 FIGURES = "CAST(p_size AS BIGINT) AS book, p_partkey % 5 AS chapter, p_partkey % 37 AS number"
+PRINTED = "p_partkey AS book, concat(CASE p_partkey % 3 WHEN 0 THEN 'Gait_2e' WHEN 1 THEN 'Balance' ELSE 'Falls' END, CASE WHEN p_partkey % 4 = 0 THEN '_2009' ELSE '' END, '.pdf') AS name, CASE p_partkey % 5 WHEN 0 THEN concat('Third Edition. Copyright ', CAST(p_partkey % 80 + 1940 AS STRING)) WHEN 1 THEN 'printed in 2001, 4th edition' WHEN 2 THEN 'no date' WHEN 3 THEN '[1985] edition: 6' ELSE '© 1999' END AS text"
 LINES = (
     "CAST(floor(l_orderkey / 40) AS BIGINT) AS book, CAST(0 AS INT) AS page, l_partkey * 1000000 + l_suppkey * 1000 + CAST(l_quantity AS BIGINT) AS ord, CAST(CASE WHEN l_suppkey % 2 = 0 THEN 50 ELSE 110 END AS DOUBLE) AS x0, CAST(CASE WHEN l_suppkey % 2 = 0 THEN 100 ELSE 300 END AS DOUBLE) AS x1, CAST(l_partkey % 300 * 2 AS DOUBLE) AS base, l_suppkey % 2 = 0 AS bold_all, l_suppkey % 2 = 0 AS bold_start, l_partkey % 13 > 0 AS upright, CAST(595 AS DOUBLE) AS page_w"
 )
@@ -130,8 +134,60 @@ def figure_gaps(spark, sf_dir):
     return L.id_gaps(_derive(spark, sf_dir, "part", FIGURES))
 
 
+def _headings(spark, sf_dir):
+    """Outline entries made of the headings of each book, without pages."""
+    lines = C.book_lines(I.pages(spark, sf_dir))
+    found = C.heading_lines(lines)
+    return lines, found.select("book", F.col("line_no").alias("ord"), (F.col("line_no") % 3 + 1).cast("int").alias("level"), "title", "page")
+
+
+def promoted_chapters(spark, sf_dir):
+    o = I.outline(spark, sf_dir)
+    return S.promote_chapters(o, o.select("book").distinct().withColumn("level", (F.col("book") % 3 + 1).cast("int"))).select("book", "ord", "new_level")
+
+
+def ligature_repairs(spark, sf_dir):
+    """The first words of every page with letters bitten off, against the page."""
+    head = F.substring("text", 1, 400)
+    rows = F.array(F.array(F.replace(head, F.lit("st"), F.lit("t")), F.replace(head, F.lit("ti"), F.lit("ti st "))))
+    found = I.pages(spark, sf_dir).select("book", "page", S.repair_ligatures(rows, "text").alias("r"))
+    return found.select("book", "page", F.size("r.repairs").alias("repairs"), F.size("r.suspects").alias("suspects"), F.md5(F.array_join(F.flatten("r.rows"), "|")).alias("rows_md5"))
+
+
+def anchored_titles(spark, sf_dir):
+    lines, titles = _headings(spark, sf_dir)
+    return S.anchor_titles(titles, lines)
+
+
+def deep_headings(spark, sf_dir):
+    lines, titles = _headings(spark, sf_dir)
+    return S.deep_headings(lines, titles).withColumn("line_no", F.col("line_no").cast("long"))
+
+
+def title_checks(spark, sf_dir):
+    pages = I.pages(spark, sf_dir).select("book", F.col("page").cast("string").alias("file"), F.when(F.col("page") % 4 == 0, "Chapter 2 Balance Training").otherwise(F.split("text", "\n")[0]).alias("title"), "text")
+    return S.check_titles(pages)
+
+
+def new_file_names(spark, sf_dir):
+    d = _derive(spark, sf_dir, "part", PRINTED)
+    edition, year = S.edition_and_year(F.col("text"))
+    return d.select("book", S.new_file_name(F.col("name"), edition, year).alias("new_name"))
+
+
+def book_documents(spark, sf_dir):
+    """Whole books: pages with their tables, and what was counted on the way."""
+    tables = I.tables(spark, sf_dir).withColumn("book", F.floor(F.col("t") / 20)).withColumn("page", (F.col("t") % 20 + 1).cast("int"))
+    documents, stats = P.convert(I.pages(spark, sf_dir), tables)
+    return stats.join(documents.select("book", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5")), "book")
+
+
+def chapter_strategies(spark, sf_dir):
+    return P.chapter_files(I.pages(spark, sf_dir), I.outline(spark, sf_dir))
+
+
 def queries() -> dict:
-    own = [scan_only, silent_failures, ocr_problems, book_plan, source_lookup, violations, triage, index_totals, chapter_tables, chapter_index, scan_references, reference_lint, owning_chapters, lint_embeds, column_order, ocr_gutter, runin_pairs, backends, caption_owners, figure_gaps]
+    own = [promoted_chapters, ligature_repairs, anchored_titles, deep_headings, title_checks, new_file_names, book_documents, chapter_strategies, scan_only, silent_failures, ocr_problems, book_plan, source_lookup, violations, triage, index_totals, chapter_tables, chapter_index, scan_references, reference_lint, owning_chapters, lint_embeds, column_order, ocr_gutter, runin_pairs, backends, caption_owners, figure_gaps]
     return {f.__name__: f for f in own}
 
 
@@ -156,6 +212,9 @@ def oracle_sql() -> dict[str, str]:
       UNION ALL SELECT o_orderkey, 1, 0, NULL, 'Unknown,see', CAST(o_orderkey % 9 AS INT), NULL FROM orders WHERE o_orderkey % 6 = 0)"""
     box = f"bx AS (SELECT DISTINCT {BOXES} FROM lineitem), b1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY book, page, ord) AS q FROM bx) WHERE q = 1)"
     return {
+        "new_file_names": """WITH r AS (SELECT p_partkey AS book, p_partkey % 3 AS a, p_partkey % 4 = 0 AS dated, p_partkey % 5 AS k, p_partkey % 80 + 1940 AS y FROM part),
+          v AS (SELECT *, CASE k WHEN 0 THEN CASE WHEN y >= 1980 OR y >= 1950 THEN y END WHEN 1 THEN 2001 WHEN 3 THEN 1985 WHEN 4 THEN 1999 END AS ty, CASE k WHEN 0 THEN 3 WHEN 1 THEN 4 WHEN 3 THEN 6 END AS te FROM r)
+          SELECT book, CASE WHEN coalesce(ty, CASE WHEN dated THEN 2009 END) IS NOT NULL THEN CASE a WHEN 0 THEN 'Gait' WHEN 1 THEN 'Balance' ELSE 'Falls' END || '_' || CASE WHEN a = 0 THEN 2 ELSE coalesce(te, 1) END || 'e_' || coalesce(ty, 2009) || '.pdf' END AS new_name FROM v""",
         "scan_only": f"WITH {pages}, q AS (SELECT book, page, CASE WHEN book % 5 = 0 THEN text[1:9] ELSE text END AS text FROM p WHERE page % 3 <> 1 OR book % 4 > 0) SELECT book, sum(CASE WHEN page <= 5 THEN length(regexp_replace(regexp_replace(text, '^\\s+', ''), '\\s+$', '')) ELSE 0 END) < 100 AS scan_only FROM q GROUP BY book",
         "silent_failures": rf"""WITH {pages}, q AS (SELECT book, page, CASE WHEN book % 3 = 0 THEN translate(translate(text, 'aeiou', 'ăęįőű'), 'thnrsld ', 'ţħńřšłđĸ') ELSE text END AS text, greatest(1, count(*) OVER (PARTITION BY book) // 6) AS st FROM p),
           s AS (SELECT *, row_number() OVER (PARTITION BY book ORDER BY page) AS k FROM q WHERE page - 1 >= st AND (page - 1) % st = 0 AND length(text) >= 100),
