@@ -125,7 +125,7 @@ def _emit(buckets: int, key: np.ndarray, known: np.ndarray, doc_ids: np.ndarray,
 
 
 def _mapped(frame: DataFrame, work: Callable[[np.ndarray, np.ndarray, np.ndarray, list], Iterator[tuple]], ddl: str, lists: int) -> DataFrame:
-    """Apply ``work(data, offsets, doc_ids, mark lists)`` to chunks of (doc_id, text, list columns of binaries)."""
+    """Apply ``work(data, offsets, doc_ids, mark lists)`` to chunks of (doc_id, text, columns of packed marks)."""
     out_schema = common.arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,7 +133,7 @@ def _mapped(frame: DataFrame, work: Callable[[np.ndarray, np.ndarray, np.ndarray
             data, offsets = common.text_bytes(batch.column(1))
             ids = batch.column(0).to_numpy()
             for i, j in common.slices(offsets, CHUNK):
-                marks = [[np.sort(np.frombuffer(b"".join(x or ()), "<u4").astype(np.int64)) for x in batch.column(2 + c).slice(i, j - i).to_pylist()] for c in range(lists)]
+                marks = [[np.sort(np.frombuffer(x or b"", "<u4").astype(np.int64)) for x in batch.column(2 + c).slice(i, j - i).to_pylist()] for c in range(lists)]
                 made = list(work(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], ids[i:j], marks))
                 if made:
                     yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*made), out_schema)], schema=out_schema)
@@ -141,26 +141,37 @@ def _mapped(frame: DataFrame, work: Callable[[np.ndarray, np.ndarray, np.ndarray
     return frame.mapInArrow(run, ddl)
 
 
-def _reduced(frame: DataFrame, work: Callable[[list[bytes], list[bytes]], Iterator[tuple[np.ndarray, ...]]], ddl: str) -> DataFrame:
-    """Apply ``work(packed rows, packed known rows)`` to each bucket; it gives document ids and mark columns."""
+def _reduced(frame: DataFrame, work: Callable[[list[bytes], list[bytes]], Iterator[tuple[np.ndarray, ...]]], parts: int, kinds: int = 1) -> DataFrame:
+    """(doc_id, m0, m1, ...): apply ``work(packed rows, packed known rows)`` to each bucket and bring its marks to their documents.
+
+    ``work`` gives document ids, marks and, for several kinds of marks, the kind.  A bucket sends one packed
+    row to each part of the documents, and a part gives one row for each of its documents.
+    """
+    sent_schema = common.arrow_schema("part int, payload binary")
+    ddl = "doc_id long" + "".join(f", m{k} binary" for k in range(kinds))
     out_schema = common.arrow_schema(ddl)
 
-    def run(table: pa.Table) -> pa.Table:
-        known = table.column("known").to_pylist()
-        payload = table.column("payload").to_pylist()
-        ids, *columns = work([p for p, k in zip(payload, known) if not k], [p for p, k in zip(payload, known) if k])
-        order = np.lexsort((columns[0], ids))
-        ids, columns = ids[order], [c[order] for c in columns]
+    def judge(table: pa.Table) -> pa.Table:
+        known, payload = table.column("known").to_pylist(), table.column("payload").to_pylist()
+        ids, marks, *kind = work([p for p, k in zip(payload, known) if not k], [p for p, k in zip(payload, known) if k])
+        kind = kind[0] if kind else np.zeros(len(ids))
+        part = (mix(ids.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        order = np.lexsort((ids, part))
+        ids, marks, kind, part = ids[order], marks[order].astype("<u4"), kind[order].astype("u1"), part[order]
+        heads = np.flatnonzero(runs(part)) if len(ids) else np.zeros(0, np.int64)
+        rows = [(int(part[a]), pack(ids[a:b], marks[a:b], kind[a:b])) for a, b in zip(heads.tolist(), np.append(heads[1:], len(ids)).tolist())]
+        return pa.Table.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(sent_schema)], schema=sent_schema)
+
+    def gather(table: pa.Table) -> pa.Table:
+        ids, marks, kind = unpack(table.column("payload").to_pylist(), "<u4", "u1")
+        order = np.lexsort((marks, ids))
+        ids, marks, kind = ids[order], marks[order], kind[order]
         heads = np.flatnonzero(runs(ids)) if len(ids) else np.zeros(0, np.int64)
-        ends = np.append(heads[1:], len(ids)).tolist()
-        rows: list[list] = [ids[heads].tolist()]
-        for kind in range(len(out_schema) - 1):
-            marks = columns[0]
-            chosen = columns[1] == kind if len(columns) > 1 else None
-            rows.append([(marks[a:b] if chosen is None else marks[a:b][chosen[a:b]]).astype("<u4").tobytes() for a, b in zip(heads.tolist(), ends)])
-        return pa.Table.from_arrays([pa.array(x, f.type) for x, f in zip(rows, out_schema)], schema=out_schema)
+        spans = list(zip(heads.tolist(), np.append(heads[1:], len(ids)).tolist()))
+        columns = [ids[heads].tolist(), *([marks[a:b][kind[a:b] == k].tobytes() for a, b in spans] for k in range(kinds))]
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out_schema)], schema=out_schema)
 
-    return frame.groupBy("bucket").applyInArrow(run, ddl)
+    return frame.groupBy("bucket").applyInArrow(judge, "part int, payload binary").groupBy("part").applyInArrow(gather, ddl)
 
 
 def _chosen(parse: Parse, marks: list[np.ndarray]) -> np.ndarray:
@@ -206,8 +217,7 @@ def repeated_spans(docs: DataFrame, length: int = 100, with_text: bool = False,
         more, marks = unpack(known, "<u4")
         return np.append(ids[hit], more), np.append(mark[hit], marks)
 
-    flagged = _reduced(_mapped(docs, cores, ROWS, 0), shared_cores, "doc_id long, marks binary")
-    flags = flagged.groupBy("doc_id").agg(F.collect_list("marks").alias("marks"))
+    flags = _reduced(_mapped(docs, cores, ROWS, 0), shared_cores, buckets).withColumnRenamed("m0", "marks")
     # Texts are dealt by document once and stored that way, so that later passes meet them without a shuffle.
     parts = max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
     joined = docs.repartition(parts, "doc_id").join(flags.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "marks")
@@ -239,8 +249,8 @@ def repeated_spans(docs: DataFrame, length: int = 100, with_text: bool = False,
         hit = np.flatnonzero(~first | edge)
         return np.append(ids[hit], more), np.append(mark[hit], marks), np.append(edge[hit].astype(np.int64), np.zeros(len(more), np.int64))
 
-    verdicts = common.cut(_reduced(_mapped(open_, contexts, ROWS, 1), judged, "doc_id long, repeated binary, edges binary"), "verdicts")
-    edges = verdicts.where(F.octet_length("edges") > 0).groupBy("doc_id").agg(F.collect_list("edges").alias("edges"))
+    verdicts = common.cut(_reduced(_mapped(open_, contexts, ROWS, 1), judged, buckets, kinds=2), "verdicts")
+    edges = verdicts.where(F.octet_length("m1") > 0).select("doc_id", "m1")
 
     def strings(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray, marks: list) -> Iterator[tuple]:
         parse = Parse(data, offsets, length, core)
@@ -261,9 +271,8 @@ def repeated_spans(docs: DataFrame, length: int = 100, with_text: bool = False,
         told, starts = unpack(known, "<u4")
         return np.append(ids[hit], told), np.append(at[hit], starts)
 
-    singles = _reduced(_mapped(open_.select("doc_id", "text").join(edges.hint("shuffle_hash"), "doc_id"), strings, ROWS, 1), later_strings, "doc_id long, starts binary")
-    whole = verdicts.where(F.octet_length("repeated") > 0).groupBy("doc_id").agg(F.collect_list("repeated").alias("repeated"))
-    starts = singles.groupBy("doc_id").agg(F.collect_list("starts").alias("starts"))
+    starts = _reduced(_mapped(open_.select("doc_id", "text").join(edges.hint("shuffle_hash"), "doc_id"), strings, ROWS, 1), later_strings, buckets).withColumnRenamed("m0", "starts")
+    whole = verdicts.where(F.octet_length("m0") > 0).select("doc_id", F.col("m0").alias("repeated"))
     last = open_.select("doc_id", "text").join(whole.hint("shuffle_hash"), "doc_id", "left").join(starts.hint("shuffle_hash"), "doc_id", "left")
 
     ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * with_text
