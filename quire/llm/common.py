@@ -32,6 +32,17 @@ def cut(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete what ``cut`` wrote for frames that nothing reads any more, and let go of the shuffles before it."""
+    for df in frames:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            if "/quire-" in folder:
+                path = jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(conf).delete(path, True)
+        jvm.System.gc()
+
+
 def cut_by(df: DataFrame, key: str, parts: int, name: str) -> DataFrame:
     """Cut the lineage and keep the rows dealt by ``key`` into ``parts`` buckets, so that joins on it need no shuffle.
 

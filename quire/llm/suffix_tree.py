@@ -1,17 +1,21 @@
 """Scoring texts with a probabilistic suffix tree over words.
 
-Symbols are the words with a training share of at least ``least_symbol``, one symbol for all other words
-and the end of text (which also stands before the first word).  A context (one or two symbols) with a
-training share of at least ``least_context`` is kept if its next-symbol counts diverge from those of its
-longest kept proper suffix: the log-likelihood ratio must reach ``divergence``.  So the tree has at most
-depth / least_context contexts and each keeps at most 1 / least_next next symbols, which bounds what is
-broadcast whatever the corpus.  Kept next symbols are smoothed with the suffix's distribution, the rest
-of the mass goes to the suffix, so every state is a proper distribution; the root is the add-one-half
-word distribution, and rarer words share their symbol's mass in its proportions.  A text is scored by
-the longest kept suffix at every word.
-
-Word counts cover the whole training corpus and are never broadcast: pages of words, stored once, send
-their distinct words to hash buckets and get the counts back.
+Symbols are all words and the end of text (which also stands before the first word).  A context of any
+length with at least ``least_context`` training occurrences is kept if its suffix is kept and its
+next-symbol counts diverge from those of its suffix: the log-likelihood ratio must reach ``divergence``,
+and one next symbol must be seen twice (else the context would say what its suffix says).
+Both are absolute, so the tree grows with the corpus, in width and in depth.  Next symbols seen twice or
+more are smoothed with the suffix's distribution, the rest of the mass goes to the suffix, so every state
+is a proper distribution; the root is the add-one-half word distribution.  A text is scored by the
+longest kept suffix at every word.
+
+The tree is never in one place.  Pages of words, stored once, send their distinct words to hash buckets
+and get the training counts back; then, depth by depth, their distinct (context, next symbol) pairs with
+the suffix's ln p, and their distinct contexts.  A bucket of pairs adds up the counts and, for each
+context, the sums that the divergence test and the smoothing need; a bucket of contexts adds up these
+sums.  A page sends a key once at most, so that a common one is as many entries as there are pages.
+Pairs go out only where the count of the words before, known from the depth above, reaches
+``least_context``.  Depths end when no context of the last one was kept.
 
 Null texts count as empty (one token, the end).  Documents of any length are scored whole; repeated rows
 are scored and counted like any other.  With nothing to learn from all counts are zero.
@@ -28,12 +32,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm import common
-from quire.llm.common import runs
 from quire.llm.shingles import word_hashes
 
 #: The end of text in place of a word's hash.
 END = np.uint64(0)
 PAGE = 3 << 19
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
+#: The count from which a next symbol has its own probability.
+LEAST_NEXT = 2
+#: Counts that only bound others stop here.
+MOST = (1 << 32) - 1
+#: What a pair takes on its way to a bucket.
+PAIR_BYTES = 28
 PAGES = "page long, ids binary, held binary, first binary, words binary, tokens binary, sent binary"
 
 
@@ -64,7 +74,7 @@ def pages(docs: DataFrame, held: str) -> DataFrame:
 
 def word_counts(paged: DataFrame, buckets: int) -> DataFrame:
     """(page, part, counts): the training counts of a page's distinct words that fall in a bucket, in their order;
-    beside them each bucket's totals as rows with a null page: frequent words in ``top`` with counts, N and V."""
+    beside them each bucket's totals N and V as rows with a null page."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = common.arrow_schema("bucket int, page long, words binary, sent binary")
@@ -79,7 +89,7 @@ def word_counts(paged: DataFrame, buckets: int) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), schema)], schema=schema)
 
-    ddl = "bucket int, page long, counts binary, words binary, n_tokens long, n_words long"
+    ddl = "bucket int, page long, counts binary, n_tokens long, n_words long"
 
     def total(table: pa.Table) -> pa.Table:
         schema = common.arrow_schema(ddl)
@@ -90,10 +100,8 @@ def word_counts(paged: DataFrame, buckets: int) -> DataFrame:
         c = np.bincount(which, n, minlength=len(distinct)).astype(np.int64)
         at = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).tolist()
         back = c[which].astype("<u8")
-        rows = [(bucket, p, back[a:b].tobytes(), None, None, None) for p, a, b in zip(page, at, at[1:])]
-        # A word that may be a symbol has a large count; the exact share is tested once N is known.
-        often = np.flatnonzero(c >= max(1, int(c.sum() * 1e-6)))
-        rows.append((bucket, None, c[often].astype("<u8").tobytes(), distinct[often].tobytes(), int(c.sum()), int((c > 0).sum())))
+        rows = [(bucket, p, back[a:b].tobytes(), None, None) for p, a, b in zip(page, at, at[1:])]
+        rows.append((bucket, None, None, int(c.sum()), int((c > 0).sum())))
         return pa.Table.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), schema)], schema=schema)
 
     sent = paged.select("page", "words", "sent").mapInArrow(split, "bucket int, page long, words binary, sent binary")
@@ -101,7 +109,7 @@ def word_counts(paged: DataFrame, buckets: int) -> DataFrame:
 
 
 class Symbols:
-    """Frequent words as symbols 2.., other words as 1, the end as 0, with root probabilities."""
+    """Words as symbols 2.., other words as 1, the end as 0, with root probabilities."""
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, n: int, v: int, end_count: int):
         order = np.argsort(words)
@@ -118,7 +126,7 @@ class Symbols:
 
 
 class Tree:
-    """Kept contexts: their numbers, next-symbol log-probabilities and back-off weights."""
+    """The smoothing in memory, for small trees: kept contexts, next-symbol log-probabilities and back-off weights."""
 
     def __init__(self, symbols: Symbols):
         self.symbols, self.size = symbols, len(symbols.root)
@@ -164,170 +172,204 @@ class Tree:
         order = np.argsort(keys)
         self.keys, self.logs = keys[order], logs[order]
 
-    def states(self, symbol: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """The longest kept context before every token of the texts that begin at ``first``."""
-        before = np.append(0, symbol[:-1])
-        before[first[:-1]] = 0
-        two = np.append(0, before[:-1])
-        two[first[:-1]] = 0
-        one_of = np.zeros(self.size, np.int64)
-        pairs = []
-        for c, i in self.context.items():
-            if len(c) == 1:
-                one_of[c[0]] = i
-            elif len(c) == 2:
-                pairs.append((c[0] * self.size + c[1], i))
-        state = one_of[before]
-        if pairs:
-            pairs.sort()
-            keys, numbers = np.array([x[0] for x in pairs]), np.array([x[1] for x in pairs])
-            key = two * self.size + before
-            begins = np.zeros(len(symbol), bool)
-            begins[first[:-1]] = True
-            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            state = np.where((keys[at] == key) & ~begins, numbers[at], state)
-        return state
-
-
-def _next_counts(paged: DataFrame, shared, candidates: dict[tuple[int, ...], int], deep: int) -> DataFrame:
-    """(context, symbol, n): training counts of the symbols that follow candidate contexts of one depth."""
-    ddl = "context int, symbol int, n long"
-    table = paged.sparkSession.sparkContext.broadcast(candidates)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = common.arrow_schema(ddl)
-        symbols: Symbols = shared.value
-        size = len(symbols.root)
-        known = sorted((c[0] if deep == 1 else c[0] * size + c[1], i) for c, i in table.value.items())
-        keys, numbers = np.array([k for k, _ in known], np.int64), np.array([i for _, i in known], np.int64)
-        held_back: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            if held_back:
-                key, which = np.unique(np.concatenate([h[0] for h in held_back]), return_inverse=True)
-                n = np.bincount(which, np.concatenate([h[1] for h in held_back])).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(key // size, pa.int32()), pa.array(key % size, pa.int32()), pa.array(n)], schema=schema)
-                held_back.clear()
+def context_keys(symbol: np.ndarray, first: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """A key of the ``depth`` symbols before every token, and whether it has as many (the start counts as one)."""
+    place = np.arange(len(symbol)) - np.repeat(first[:-1], np.diff(first))
+    key = np.full(len(symbol), depth, np.uint64)
+    for back in range(1, depth + 1):
+        before = np.zeros(len(symbol), np.uint64)
+        before[back:] = symbol[:-back]
+        before[place < back] = END
+        key = common.mix(key * SPREAD + before)
+    return key, place >= depth - 1
+
+
+class Page:
+    """A page at one depth: what it asks for, in an order that does not depend on when it asks."""
+
+    def __init__(self, row: dict, depth: int, least: float):
+        self.ids, self.fold = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["held"], bool)
+        self.first = np.frombuffer(row["first"], np.uint32).astype(np.int64)
+        self.count = np.frombuffer(row["counts"], "<u8")
+        self.tokens = np.frombuffer(row["tokens"], np.uint32)
+        self.q, self.gram, self.alive = np.frombuffer(row["q"], "<f8").copy(), np.frombuffer(row["gram"], "<u4").copy(), np.frombuffer(row["alive"], bool).copy()
+        if not depth:
+            return
+        symbol = np.frombuffer(row["words"], np.uint64)[self.tokens]
+        key, enough = context_keys(symbol, self.first, depth)
+        # The words before a token are a context and its next symbol of the depth above, or fewer words: at least as frequent.
+        seen = np.append(self.gram[:1], self.gram[:-1]).astype(np.float64)
+        seen[self.first[:-1]] = self.count[0]  # the end comes first among the words
+        self.use = np.flatnonzero(self.alive & enough & (seen >= least))
+        self.context, self.of_context = np.unique(key[self.use], return_inverse=True)
+        pair = common.mix(key[self.use] * SPREAD + symbol[self.use])
+        self.pair, at, self.of_pair = np.unique(pair, return_index=True, return_inverse=True)
+        self.pair_context, self.pair_q = key[self.use][at], self.q[self.use][at]
+        trained = np.repeat(~self.fold, np.diff(self.first))[self.use]
+        self.pair_n = np.bincount(self.of_pair, trained, len(self.pair)).astype("<u4")
+
+
+def _dealt(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order of the keys by bucket, and (bucket, from, to) of each one in use."""
+    bucket = (keys % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    return order, [(int(b), int(ends[b]), int(ends[b + 1])) for b in np.flatnonzero(np.diff(ends))]
+
+
+def _answered(keys: np.ndarray, buckets: int, answers: dict[int, bytes], kind: str) -> np.ndarray:
+    """The buckets' answers, put back into the order of the keys."""
+    order, parts = _dealt(keys, buckets)
+    out = np.zeros(len(keys), kind)
+    for b, i, j in parts:
+        out[order[i:j]] = np.frombuffer(answers[b], kind)
+    return out
+
+
+def _batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
+    schema = common.arrow_schema(ddl)
+    columns = list(zip(*rows)) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+STATE = "page long, ids binary, held binary, first binary, words binary, tokens binary, counts binary, q binary, gram binary, alive binary, live long"
+SENT = "bucket int, page long, key binary, context binary, n binary, q binary"
+ANSWER = "bucket int, page long, context binary, n binary, total binary, rest binary"
+
+
+def started(paged: DataFrame, counted: DataFrame, buckets: int, below: float) -> DataFrame:
+    """Pages with the training counts of their words and every token's ln p at the root."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows = []
+        answers = dict(zip(right.column("bucket").to_pylist(), right.column("counts").to_pylist()))
+        for row in left.to_pylist():
+            words, tokens = np.frombuffer(row["words"], np.uint64), np.frombuffer(row["tokens"], np.uint32)
+            count = _answered(words, buckets, answers, "<u8")
+            q, gram = np.log((count + 0.5) / below)[tokens], np.minimum(count, MOST).astype("<u4")[tokens]
+            rows.append((row["page"], row["ids"], row["held"], row["first"], row["words"], row["tokens"], count.tobytes(), q.astype("<f8").tobytes(), gram.tobytes(), np.ones(len(tokens), bool).tobytes(), len(tokens)))
+        return pa.Table.from_batches([_batch(rows, STATE)])
+
+    answers = counted.where("page is not null").select("page", "bucket", "counts")
+    found = paged.select("page", "ids", "held", "first", "words", "tokens").groupBy("page").cogroup(answers.groupBy("page")).applyInArrow(run, STATE)
+    return common.cut(found, "state")
+
+
+def deeper(state: DataFrame, depth: int, buckets: int, least: float, divergence: float, prior: float) -> DataFrame:
+    """The pages with the contexts of one more depth."""
 
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for held, first, words, tokens in zip(*(batch.column(c).to_pylist() for c in range(4))):
-                fold, first = np.frombuffer(held, bool), np.frombuffer(first, np.uint32).astype(np.int64)
-                symbol = symbols.of(np.frombuffer(words, np.uint64))[np.frombuffer(tokens, np.uint32)]
-                before = np.append(0, symbol[:-1])
-                before[first[:-1]] = 0
-                use = np.repeat(~fold, np.diff(first))
-                key = before
-                if deep == 2:
-                    key = np.append(0, before[:-1]) * size + before
-                    use[first[:-1]] = False  # the first word has one symbol before it
-                    second = first[:-1][np.diff(first) > 1] + 1
-                    key[second] = before[second]
-                at = np.minimum(np.searchsorted(keys, key), max(0, len(keys) - 1))
-                use &= keys[at] == key if len(keys) else False
-                found, n = np.unique(numbers[at[use]] * size + symbol[use], return_counts=True)
-                held_back.append((found, n))
-                if sum(len(h[0]) for h in held_back) > 2_000_000:
-                    yield from flush()
-        yield from flush()
-
-    counted = paged.select("held", "first", "words", "tokens").mapInArrow(run, ddl)
-    return common.cut(counted.groupBy("context", "symbol").agg(F.sum("n").alias("n")), "contexts")
-
-
-def _grow(paged: DataFrame, shared, tree: Tree, candidates: list[tuple[int, ...]], n_all: int, least_context: float, least_next: float, divergence: float, prior: float) -> list[tuple[int, ...]]:
-    """Count one depth, keep what diverges from its suffix, and give the candidates of the next depth."""
-    spark = paged.sparkSession
-    deep = len(candidates[0])
-    counts = _next_counts(paged, shared, {c: i for i, c in enumerate(candidates)}, deep)
-    totals = {r["context"]: r["n"] for r in counts.groupBy("context").agg(F.sum("n").alias("n")).collect()}  # depth / least_context rows at most
-    total = np.array([totals.get(i, 0) for i in range(len(candidates))], float)
-    # The divergence test runs over all counted symbols; the parent's probabilities come from the broadcast tree.
-    parents = np.array([tree.context.get(c[1:], 0) for c in candidates])
-    model = spark.sparkContext.broadcast((tree, parents, total))
-    ddl = "context int, symbol int, n long, gain double"
-
-    def gains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, above, all_of = model.value
-        for b in batches:
-            c, s, n = (b.column(i).to_numpy().astype(np.int64) for i in range(3))
-            gain = n * (np.log(n / all_of[c]) - own.log_p(above[c], s))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(gain)], schema=common.arrow_schema(ddl))
-
-    tested = counts.mapInArrow(gains, ddl)
-    passed = {r["context"] for r in tested.groupBy("context").agg(F.sum("gain").alias("g")).where(F.col("g") >= divergence).collect()}
-    limit = common.cut(spark.createDataFrame([(int(i), float(max(2.0, least_next * total[i]))) for i in sorted(passed)] or [(-1, 0.0)], "context int, least double"), "limits")
-    rows = counts.join(limit, "context").where("n >= least").select("context", "symbol", "n").toArrow()  # 1 / least_next rows for each kept context at most
-    kept = sorted(passed)
-    place = {c: i for i, c in enumerate(kept)}
-    context = np.array([place[c] for c in rows.column("context").to_pylist()], np.int64)
-    symbol, n = rows.column("symbol").to_numpy().astype(np.int64), rows.column("n").to_numpy().astype(np.int64)
-    tree.add([candidates[i] for i in kept], context, symbol, n, total[kept], prior)
-    if deep > 1:
-        return []
-    often = counts.where((F.col("n") >= least_context * n_all) & (F.col("symbol") > 0)).select("context", "symbol").collect()  # 1 / least_context rows at most
-    return sorted((*candidates[r["context"]], r["symbol"]) for r in often if (r["symbol"],) in tree.context)
+            for row in batch.to_pylist():
+                p = Page(row, depth, least)
+                order, parts = _dealt(p.pair, buckets)
+                columns = [x[order] for x in (p.pair, p.pair_context, p.pair_n, p.pair_q)]
+                yield _batch([(b, row["page"], *[x[i:j].tobytes() for x in columns]) for b, i, j in parts], SENT)
+
+    def added(table: pa.Table) -> pa.Table:
+        bucket, page = table.column("bucket")[0].as_py(), table.column("page").to_pylist()
+        read = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in table.column(c).to_pylist()])
+        key, at, which = np.unique(read("key", np.uint64), return_index=True, return_inverse=True)
+        n = np.bincount(which, read("n", "<u4"), len(key))
+        back = n.astype("<u8")[which]
+        ends = np.cumsum([0, *(len(x) // 8 for x in table.column("key").to_pylist())]).tolist()
+        rows = [(bucket, p, None, back[i:j].tobytes(), None, None) for p, i, j in zip(page, ends, ends[1:])]
+        trained = np.flatnonzero(n)
+        context, of = np.unique(read("context", np.uint64)[at[trained]], return_inverse=True)
+        m, q = n[trained], read("q", "<f8")[at[trained]]
+        sums = [np.bincount(of, x, len(context)) for x in (m, m * (np.log(m) - q), m * (m >= LEAST_NEXT), np.exp(q) * (m >= LEAST_NEXT))]
+        order, parts = _dealt(context, buckets)
+        rows += [(b, None, context[order[i:j]].tobytes(), None, np.concatenate([x[order[i:j]] for x in sums]).tobytes(), None) for b, i, j in parts]
+        return pa.Table.from_batches([_batch(rows, ANSWER)])
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                p = Page(row, depth, least)
+                order, parts = _dealt(p.context, buckets)
+                yield _batch([(b, row["page"], p.context[order[i:j]].tobytes(), None, None, None) for b, i, j in parts], ANSWER)
+
+    def judged(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        told = [r for r in rows if r["page"] is None]
+        key = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(r["context"], np.uint64) for r in told]])
+        parts = np.concatenate([np.zeros((4, 0)), *[np.frombuffer(r["total"], "<f8").reshape(4, -1) for r in told]], axis=1)
+        order = np.lexsort((parts[1], parts[0], key))  # sums do not depend on the order of arrival
+        key, of = np.unique(key[order], return_inverse=True)
+        total, gain, kept, under = (np.bincount(of, x[order], len(key)) for x in parts)
+        gain -= total * np.log(np.maximum(total, 1))
+        total[(total < least) | (gain < divergence) | (kept == 0)] = 0
+        rest = np.log(np.maximum(1 - (kept + prior * under) / (total + prior), 1e-12) / np.maximum(1 - under, 1e-12))
+        key, total, rest = np.append(key, np.uint64(0)), np.append(total, 0.0), np.append(rest, 0.0)
+        out = []
+        for r in rows:
+            if r["page"] is not None:
+                asked = np.frombuffer(r["context"], np.uint64)
+                at = np.searchsorted(key[:-1], asked)
+                at[key[at] != asked] = len(key) - 1
+                out.append((r["bucket"], r["page"], None, None, total[at].tobytes(), rest[at].tobytes()))
+        return pa.Table.from_batches([_batch(out, ANSWER)])
+
+    def moved(left: pa.Table, right: pa.Table) -> pa.Table:
+        answers = right.to_pylist()
+        n_of = {r["bucket"]: r["n"] for r in answers if r["n"] is not None}
+        total_of = {r["bucket"]: r["total"] for r in answers if r["total"] is not None}
+        rest_of = {r["bucket"]: r["rest"] for r in answers if r["rest"] is not None}
+        rows = []
+        for row in left.to_pylist():
+            p = Page(row, depth, least)
+            n = _answered(p.pair, buckets, n_of, "<u8")[p.of_pair]
+            total, rest = (_answered(p.context, buckets, x, "<f8")[p.of_context] for x in (total_of, rest_of))
+            q = p.q[p.use]
+            own = np.where(n >= LEAST_NEXT, np.log((n + prior * np.exp(q)) / (total + prior)), rest + q)
+            p.q[p.use] = np.where(total > 0, own, q)
+            p.gram[p.use] = np.minimum(n, MOST)
+            p.alive[:] = False
+            p.alive[p.use] = total > 0
+            rows.append((*[row[c] for c in ("page", "ids", "held", "first", "words", "tokens", "counts")], p.q.tobytes(), p.gram.tobytes(), p.alive.tobytes(), int(p.alive.sum())))
+        return pa.Table.from_batches([_batch(rows, STATE)])
+
+    counted = common.cut(state.mapInArrow(pairs, SENT).groupBy("bucket").applyInArrow(added, ANSWER), "pairs")
+    asked = counted.where("page is null").unionByName(state.mapInArrow(contexts, ANSWER))
+    told = counted.where("page is not null").unionByName(asked.groupBy("bucket").applyInArrow(judged, ANSWER))
+    made = common.cut(state.groupBy("page").cogroup(told.groupBy("page")).applyInArrow(moved, STATE), "state")
+    common.discard(counted)
+    return made
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def suffix_tree_scores(docs: DataFrame, held: str = "held_out", least_symbol: float = 2e-5, least_context: float = 1e-4, least_next: float = 1e-3, divergence: float = 30.0, prior: float = 8.0, depth: int = 2, bucket_bytes: int = 16 << 20) -> DataFrame:
-    """Score every document; those with a true ``held`` column take no part in learning."""
-    spark = docs.sparkSession
+def suffix_tree_scores(docs: DataFrame, held: str = "held_out", least_context: float = 30.0, divergence: float = 30.0, prior: float = 8.0, depth: int | None = None, bucket_bytes: int = 16 << 20) -> DataFrame:
+    """Score every document; those with a true ``held`` column take no part in learning.  ``depth`` may end the tree early."""
     paged = common.cut(pages(docs, held), "pages")
     size = paged.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     buckets = max(1, math.ceil(size / bucket_bytes))
     counted = common.cut(word_counts(paged, buckets), "counts")
     totals = counted.where("page is null").agg(F.sum("n_tokens"), F.sum("n_words")).first()
     n_all, v_all = int(totals[0] or 0), int(totals[1] or 0)
-    least = max(1.0, least_symbol * n_all)
-
-    # Frequent words: at most 1 / least_symbol of them pass, bucket by bucket.
-    ddl = "word long, n long"
-
-    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for words, counts in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                w, n = np.frombuffer(words, np.int64), np.frombuffer(counts, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(w[n >= least]), pa.array(n[n >= least])], schema=common.arrow_schema(ddl))
-
-    often = counted.where("page is null").select("words", "counts").mapInArrow(frequent, ddl).toArrow()
-    words, n = often.column("word").to_numpy().view(np.uint64), often.column("n").to_numpy()
-    end_count = int(n[words == END].sum())
-    symbols = Symbols(words[words != END], n[words != END], n_all, v_all, end_count)
-    shared = spark.sparkContext.broadcast(symbols)
-    tree = Tree(symbols)
-    first = np.flatnonzero(np.concatenate([[end_count], [n_all], n[words != END][np.argsort(words[words != END])]]) >= least_context * max(1, n_all))
-    candidates: list[tuple[int, ...]] = [(int(s),) for s in first]
-    for _ in range(depth):
-        if not candidates or not n_all:
+    below = n_all + 0.5 * (v_all + 1)
+    state = started(paged, counted, buckets, below)
+    common.discard(paged, counted)
+    least = max(1.0, least_context)
+    deep = 0
+    while depth is None or deep < depth:
+        live = state.agg(F.sum("live")).first()[0] or 0
+        if not live or not n_all:
             break
-        candidates = _grow(paged, shared, tree, candidates, n_all, least_context, least_next, divergence, prior)
-    model = spark.sparkContext.broadcast(tree)
+        deep += 1
+        last, state = state, deeper(state, deep, max(1, math.ceil(live * PAIR_BYTES / bucket_bytes)), least, divergence, prior)
+        common.discard(last)
 
-    def scored(left: pa.Table, right: pa.Table) -> pa.Table:
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = common.arrow_schema(SCORES)
-        made: list[pa.Table] = []
-        for row in left.to_pylist():
-            own: Tree = model.value
-            ids, fold, first = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["held"], bool), np.frombuffer(row["first"], np.uint32).astype(np.int64)
-            words, tokens = np.frombuffer(row["words"], np.uint64), np.frombuffer(row["tokens"], np.uint32)
-            # The buckets' answers, put back into the order of the page's words.
-            bucket = (words % np.uint64(buckets)).astype(np.int64)
-            answers = {b: np.frombuffer(c, "<u8") for b, c in zip(right.column("bucket").to_pylist(), right.column("counts").to_pylist())}
-            order = np.argsort(bucket, kind="stable")
-            count = np.empty(len(words), np.int64)
-            count[order] = np.concatenate([answers[b] for b in np.unique(bucket).tolist()])
-            base = np.log((count + 0.5) / own.symbols.below)
-            symbol = own.symbols.of(words)
-            inside = np.where(symbol == 1, base - np.log(own.symbols.root[1]), 0.0)  # a rarer word's share of its symbol
-            state = own.states(symbol[tokens], first)
-            log_p = own.log_p(state, symbol[tokens]) + inside[tokens]
-            per = lambda x: np.add.reduceat(x, first[:-1])  # noqa: E731  every text has its end
-            columns = [ids, fold, np.diff(first), per((count > 0)[tokens].astype(np.int64)), np.full(len(ids), n_all), per(base[tokens]) / math.log(10), per(log_p) / math.log(10)]
-            made.append(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema))
-        return pa.concat_tables(made) if made else schema.empty_table()
-
-    answers = counted.where("page is not null").select("page", "bucket", "counts")
-    found = paged.select("page", "ids", "held", "first", "words", "tokens").groupBy("page").cogroup(answers.groupBy("page")).applyInArrow(scored, SCORES)
-    return common.restored(found)
+        for batch in batches:
+            for row in batch.to_pylist():
+                p = Page(row, 0, least)
+                per = lambda x: np.add.reduceat(x, p.first[:-1])  # noqa: E731  every text has its end
+                base = np.log((p.count + 0.5) / below)[p.tokens]
+                columns = [p.ids, p.fold, np.diff(p.first), per((p.count > 0)[p.tokens].astype(np.int64)), np.full(len(p.ids), n_all), per(base) / math.log(10), per(p.q) / math.log(10)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    return common.restored(state.mapInArrow(scored, SCORES))

@@ -166,6 +166,60 @@ def test_suffix_tree(docs, rows, empty):
     assert suffix_tree.suffix_tree_scores(empty.select("doc_id", "text", F.lit(False).alias("held_out"))).count() == 0
 
 
+def brute_tree(texts, held, least, divergence, prior):
+    """Scores by a tree in dictionaries, of any depth."""
+    seqs = {k: [*t.lower().split(), None] for k, t in texts.items()}
+    c = Counter(x for k, w in seqs.items() if k not in held for x in w)
+    below = sum(c.values()) + 0.5 * (len(c) + 1)
+    tree, deepest = {}, 0
+
+    def p(context, x):
+        while context and context not in tree:
+            context = context[1:]
+        if not context:
+            return (c[x] + 0.5) / below
+        n, total, rest = tree[context]
+        return (n[x] + prior * p(context[1:], x)) / (total + prior) if n[x] > 1 else rest * p(context[1:], x)
+
+    while True:
+        found = defaultdict(Counter)
+        for k, w in seqs.items():
+            for i, x in enumerate(w if k not in held else []):
+                context = tuple([None, *w][i - deepest : i + 1])
+                if i >= deepest and (not deepest or context[1:] in tree):
+                    found[context][x] += 1
+        new = {}
+        for context, n in found.items():
+            total = sum(n.values())
+            if total >= least and max(n.values()) > 1 and sum(m * math.log(m / total / p(context[1:], x)) for x, m in n.items()) >= divergence:
+                own = [x for x in n if n[x] > 1]
+                under = sum(p(context[1:], x) for x in own)
+                new[context] = (n, total, (1 - (sum(n[x] for x in own) + prior * under) / (total + prior)) / (1 - under))
+        if not new:
+            break
+        tree |= new
+        deepest += 1
+    return deepest, {k: sum(math.log10(p(tuple([None, *w][: i + 1]), x)) for i, x in enumerate(w)) for k, w in seqs.items()}
+
+
+def test_suffix_tree_grows(spark):
+    """Contexts go as deep and as rare as the counts allow, over many pages and buckets."""
+    rng = np.random.default_rng(8)
+    texts = {}
+    for i in range(40):
+        words = []
+        for a in rng.integers(0, 2, 10):
+            words += [f"w{a}", "and", "then", f"v{a}", f"rare{rng.integers(0, 300)}"]
+        texts[i] = " ".join(words)
+    texts |= {200: "", 201: "w0 and then", 202: texts[3]}
+    held = {k for k in texts if k % 5 == 1}
+    deepest, want = brute_tree(texts, held, 4, 30.0, 8.0)
+    assert deepest >= 3
+    frame = spark.createDataFrame([(k, t, k in held) for k, t in texts.items()], "doc_id long, text string, held_out boolean").repartition(5)
+    got = {r.doc_id: r.score for r in suffix_tree.suffix_tree_scores(frame, least_context=4, divergence=30.0, bucket_bytes=1 << 14).collect()}
+    assert got == {k: pytest.approx(x) for k, x in want.items()}
+
+
 def test_tree_is_a_distribution():
     """The next-symbol probabilities of every state sum to one, whatever was kept."""
     rng = np.random.default_rng(1)
