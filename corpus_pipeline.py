@@ -12,14 +12,16 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 LEAST_SCORE = 0.2
 
 
-def _documents(docs: DataFrame, changed: DataFrame | None = None) -> DataFrame:
-    """The columns of documents; ``changed`` (doc_id, text) replaces the texts and drops documents that it lacks."""
-    d = docs.select(*[F.col(f"`{c}`") for c in COLUMNS])
-    if changed is None:
-        return d
+def _documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The columns of documents with a key for every row, and (doc_id, text) with that key as doc_id."""
+    d = common.keyed(common.named(docs, *COLUMNS))
+    return d, d.select(F.col("key").alias("doc_id"), "text")
+
+
+def _changed(d: DataFrame, changed: DataFrame) -> DataFrame:
+    """Documents with the texts of ``changed`` (doc_id, text), without those that it lacks."""
     new = changed.select(F.coalesce("doc_id", F.lit(common.NO_ID)).alias("key"), F.col("text").alias("new"))
-    joined = d.withColumn("key", F.coalesce("doc_id", F.lit(common.NO_ID)))
-    return joined.drop("text", "n_chars").join(new, "key").select("doc_id", F.col("new").alias("text"), "lang", "source", F.length("new").cast("long").alias("n_chars"))
+    return d.drop("text", "n_chars").join(new, "key").select("doc_id", F.col("new").alias("text"), "lang", "source", F.length("new").cast("long").alias("n_chars"))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,20 +32,23 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of runs of lines go; a document that loses every line goes."""
-    found = lines.line_dedup(docs)
-    return _documents(docs, found.where("n_removed < n_lines"))
+    docs, texts = _documents(docs)
+    found = lines.line_dedup(texts)
+    return _changed(docs, found.where("n_removed < n_lines"))
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8) stays."""
-    kept = near.near_duplicates(docs, width=5, percent=80).where("kept").select(F.coalesce("doc_id", F.lit(common.NO_ID)).alias("key"))
-    return _documents(docs).withColumn("key", F.coalesce("doc_id", F.lit(common.NO_ID))).join(kept, "key", "left_semi").drop("key")
+    docs, texts = _documents(docs)
+    kept = near.near_duplicates(texts, width=5, percent=80).where("kept").select(F.coalesce("doc_id", F.lit(common.NO_ID)).alias("key"))
+    return docs.join(kept, "key", "left_semi").select(*COLUMNS)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 100 bytes that occur earlier are removed; a document that loses all its text goes."""
-    found = repeats.repeated_spans(docs, length=100, with_text=True)
-    return _documents(docs, found.where((F.col("n_removed") == 0) | (F.length("kept") > 0)).select("doc_id", F.col("kept").alias("text")))
+    docs, texts = _documents(docs)
+    found = repeats.repeated_spans(texts, length=100, with_text=True)
+    return _changed(docs, found.where((F.col("n_removed") == 0) | (F.length("kept") > 0)).select("doc_id", F.col("kept").alias("text")))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

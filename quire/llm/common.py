@@ -104,19 +104,39 @@ def arrow_schema(ddl: str) -> pa.Schema:
 NO_ID = -(1 << 63)
 
 
-def prepared(docs: DataFrame) -> DataFrame:
-    """(doc_id, text), one row for each doc_id: rows that share an id are one document with the smallest of their texts.
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``key``, a long of its own for every row that orders rows by doc_id (null first).
 
-    A null doc_id is an id like any other (see ``restored``); a null text counts as empty.
+    It is the doc_id where no two rows share one.  Else rows are numbered by doc_id, a hash of the text and
+    the text; rows that agree in all of them are interchangeable and come in any order.
     """
-    d = docs.select(F.coalesce(F.col("`doc_id`").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce(F.col("`text`"), F.lit("")).alias("text"))
-    if d.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        d = d.groupBy("doc_id").agg(F.min("text").alias("text"))
-    return d
+    d = docs.withColumn("key", F.coalesce(F.col("`doc_id`").cast("long"), F.lit(NO_ID)))
+    if not d.groupBy("key").count().where("count > 1").limit(1).count():
+        return d
+    text = F.coalesce(F.col("`text`"), F.lit(""))
+    # The copy number spreads equal rows over the ranges of the sort.
+    ordered = d.withColumn("copy", F.monotonically_increasing_id()).orderBy("key", F.xxhash64(text), text, "copy")
+    return cut(ordered.drop("key", "copy").withColumn("key", F.monotonically_increasing_id()), "keyed")
 
 
-def restored(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.nullif(F.col(c), F.lit(NO_ID)) for c in columns or ("doc_id",)})
+def prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text) with a doc_id of its own for every row (``keyed``), and (key, id) to turn it back (``restored``).
+
+    A null text counts as empty.
+    """
+    d = keyed(named(docs, "doc_id", "text"))
+    return d.select(F.col("key").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")), d.select("key", F.col("doc_id").cast("long").alias("id"))
+
+
+def restored(df: DataFrame, *columns: str, ids: DataFrame | None = None) -> DataFrame:
+    """``df`` with the ids of the rows: null for ``NO_ID``, or by ``ids`` from ``prepared``."""
+    columns = columns or ("doc_id",)
+    if ids is None or not any("/quire-keyed-" in f for f in ids.inputFiles()[:1]):  # keys are the ids
+        return df.withColumns({c: F.nullif(F.col(c), F.lit(NO_ID)) for c in columns})
+    order = df.columns
+    for c in columns:
+        df = df.join(ids.select(F.col("key").alias(c), "id"), c, "left").drop(c).withColumnRenamed("id", c)
+    return df.select(*order)
 
 
 def ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -9,8 +9,8 @@ doc_id, then first line) are later copies; neighbouring later copies join to max
 their lines are deleted.  Names are 128 bits wide.
 
 Null texts count as empty (one empty line).  Runs that hold no visible character are left alone.
-Documents shorter than ``min_lines`` lines keep all lines.  Rows that share a doc_id are one document
-(``common.prepared``).  Very common lines meet in partial aggregates and in a join that may be split.
+Documents shorter than ``min_lines`` lines keep all lines.  Rows that share a doc_id are documents
+of their own (``common.keyed``).  Very common lines meet in partial aggregates and in a join that may be split.
 """
 
 from __future__ import annotations
@@ -60,7 +60,7 @@ def line_dedup(docs: DataFrame, min_lines: int = 2) -> DataFrame:
     """doc_id, text (without later copies), n_lines, n_removed, n_runs, longest_run for every document."""
     if min_lines < 1:
         raise ValueError("min_lines must be 1 or more")
-    docs = common.prepared(docs)
+    docs, ids = common.prepared(docs)
     joined = docs.join(later_runs(docs, min_lines).hint("shuffle_hash"), "doc_id", "left").withColumn("lines", F.split("text", "\n", -1))
     size = F.size("lines")
     # What stays lies between the runs: before the first, between neighbours, after the last.
@@ -78,4 +78,4 @@ def line_dedup(docs: DataFrame, min_lines: int = 2) -> DataFrame:
         F.when(none, zero).otherwise(F.size("runs").cast("long")).alias("n_runs"),
         F.when(none, zero).otherwise(F.array_max(F.transform("runs", lambda r: r["e"] - r["s"])).cast("long")).alias("longest_run"),
     )
-    return common.restored(out)
+    return common.restored(out, ids=ids)

@@ -13,7 +13,7 @@
    Jaccard on the full shingle sets confirms each link.
 
 Texts that are null, empty or without words have no shingles and link with nothing.  Rows that share a
-doc_id are one document (``common.prepared``) and give one row.  Ties cannot arise: components are named
+doc_id are documents of their own (``common.keyed``) and give a row each.  Ties cannot arise: components are named
 by their smallest id.
 """
 
@@ -147,7 +147,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     ``short`` divides lists whose pairs are all proposed at once from those that are worked off by
     pivots; both ways propose every pair of members that is not connected.
     """
-    docs = common.prepared(docs)
+    docs, ids = common.prepared(docs)
     sketched = common.cut(sketches(docs, width, k), "sketches")
     classes = common.cut(classes_of(sketched), "classes")
     lists = common.cut(rare_lists(classes), "lists")
@@ -187,4 +187,4 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     joined = sketched.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("c")).otherwise(F.col("doc_id"))
     found = joined.select("doc_id", "n_shingles", component.alias("component_id"), (component == F.col("doc_id")).alias("kept"))
-    return common.restored(found, "doc_id", "component_id")
+    return common.restored(found, "doc_id", "component_id", ids=ids)

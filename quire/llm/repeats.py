@@ -19,7 +19,7 @@ binary row for each bucket; buckets are dealt by fingerprint, so a very common p
 Fingerprints that decide a removal have 128 bits.
 
 Null texts count as empty; texts shorter than ``length`` keep all bytes; ties cannot arise, since
-(doc_id, start) orders all strings.  Rows that share a doc_id are one document (``common.prepared``).
+(doc_id, start) orders all strings.  Rows that share a doc_id are documents of their own (``common.keyed``).
 """
 
 from __future__ import annotations
@@ -193,7 +193,7 @@ def repeated_spans(docs: DataFrame, length: int = 100, with_text: bool = False,
         raise ValueError("length must be 48 or more")
     core = length * 23 // 50
     spark = docs.sparkSession
-    docs = common.prepared(docs)
+    docs, ids_of = common.prepared(docs)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(total / bucket_bytes))
 
@@ -293,7 +293,7 @@ def repeated_spans(docs: DataFrame, length: int = 100, with_text: bool = False,
             yield (*row, _whole_characters(data[a:b], out)) if with_text else row
 
     done = stored.where("kept_sha256 is not null").select("doc_id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), "kept_sha256", *([F.col("text").alias("kept")] if with_text else []))
-    return common.restored(done.unionByName(_mapped(last, assembled, ddl, 2)))
+    return common.restored(done.unionByName(_mapped(last, assembled, ddl, 2)), ids=ids_of)
 
 
 def _whole_characters(data: np.ndarray, gone: np.ndarray) -> str:

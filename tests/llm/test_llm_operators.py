@@ -302,6 +302,23 @@ def test_packing(docs, rows, empty, spark):
     assert queries.packing_of(empty).count() == 0
 
 
+def test_shared_ids(spark):
+    """Rows that share an id, or have none, are all looked at and returned with their own text."""
+    words = lambda a, n=40: " ".join(f"{a}{i}" for i in range(n))
+    rows = [(None, words("a")), (None, words("b")), (None, words("b")), (1, words("c")), (1, words("d") + "\n" + words("e")), (2, words("d") + "\n" + words("e")), (2, None)]
+    frame = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    found = lines.line_dedup(frame).collect()
+    assert sorted((r.doc_id or 0, r.text, r.n_removed) for r in found) == sorted((k or 0, "" if (k, t) == rows[5] else t or "", 2 * ((k, t) == rows[5])) for k, t in rows)
+    found = repeats.repeated_spans(frame, with_text=True).collect()
+    assert sorted((r.doc_id or 0, r.kept) for r in found) == sorted([(0, words("a")), (0, words("b")), (0, ""), (1, words("c")), (1, rows[4][1]), (2, ""), (2, "")])
+    found = near.near_duplicates(frame, 2).collect()
+    assert sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in found) == [(0, 0, False), (0, 0, True), (0, 0, True), (1, 1, True), (1, 1, True), (2, 1, False), (2, 2, True)]
+    import corpus_pipeline
+
+    kept = corpus_pipeline.suffix_dedup(spark, corpus_pipeline.minhash_near_dedup(spark, frame, ""), "")
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted([(0, words("a")), (0, words("b")), (1, words("c")), (1, rows[4][1]), (2, "")])
+
+
 def test_nnls():
     rng = np.random.default_rng(2)
     a = rng.random((12, 20))
