@@ -147,9 +147,8 @@ def promoted_chapters(spark, sf_dir):
 
 
 def ligature_repairs(spark, sf_dir):
-    """The first words of every page with letters bitten off, against the page."""
-    head = F.substring("text", 1, 400)
-    rows = F.array(F.array(F.replace(head, F.lit("st"), F.lit("t")), F.replace(head, F.lit("ti"), F.lit("ti st "))))
+    """The lines of every page with letters bitten off, against the page."""
+    rows = F.transform(F.split("text", "\n", -1), lambda x: F.array(F.replace(x, F.lit("st"), F.lit("t")), F.replace(x, F.lit("ti"), F.lit("ti st "))))
     found = I.pages(spark, sf_dir).select("book", "page", S.repair_ligatures(rows, "text").alias("r"))
     return found.select("book", "page", F.size("r.repairs").alias("repairs"), F.size("r.suspects").alias("suspects"), F.md5(F.array_join(F.flatten("r.rows"), "|")).alias("rows_md5"))
 
