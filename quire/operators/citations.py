@@ -78,10 +78,12 @@ def lint(references: DataFrame, index: DataFrame, table: DataFrame) -> DataFrame
     """(key columns, verdict): OK, AMBIGUOUS, BAD_CHAPTER or UNVERIFIABLE for every reference.
 
     ``references``: note, line, ord, names, chapter, edition; ``index`` and ``table`` as above.  The
-    nearest name that is a book's surname decides; an edition narrows the books if any matches.
+    nearest name that is a book's surname decides; an edition narrows the books if any matches.  References
+    that say the same have the same verdict, so each wording meets the books once.
     """
-    key = ["note", "line", "ord"]
-    named = references.select(*key, "chapter", "edition", F.posexplode("names").alias("near", "name"))
+    own, key = ["note", "line", "ord"], ["wording"]
+    references = references.withColumn("wording", F.to_json(F.struct("names", "chapter", "edition")))
+    named = references.select(*key, "names", "chapter", "edition").dropDuplicates(key).select(*key, "chapter", "edition", F.posexplode("names").alias("near", "name"))
     hits = named.join(index.withColumn("s", F.lower("surname")), F.regexp_replace(F.lower("name"), "['’]s$", "") == F.col("s"))
     nearest = F.min("near").over(Window.partitionBy(*key))
     hits = hits.withColumn("best", nearest).where("near = best")
@@ -104,7 +106,7 @@ def lint(references: DataFrame, index: DataFrame, table: DataFrame) -> DataFrame
         .when(F.col("titles") > 1, "AMBIGUOUS")
         .otherwise("OK")
     )
-    return references.select(*key, "chapter", "edition").join(by, key, "left").select(*key, "chapter", "edition", verdict.alias("verdict"))
+    return references.select(*own, *key, "chapter", "edition").join(by, key, "left").select(*own, "chapter", "edition", verdict.alias("verdict"))
 
 
 def owning_chapters(files: DataFrame, sequences: DataFrame) -> DataFrame:

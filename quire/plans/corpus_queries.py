@@ -100,6 +100,12 @@ def reference_lint(spark, sf_dir):
     return Q.lint(Q.scan_references(_derive(spark, sf_dir, "orders", NOTES)), Q.chapter_index(files), Q.chapter_tables(files)).drop("edition")
 
 
+def reference_lint_all(spark, sf_dir):
+    """As ``reference_lint``, whose SQL takes the folders below 21 only, over the files of all folders."""
+    files = _derive(spark, sf_dir, "customer", NAMES)
+    return Q.lint(Q.scan_references(_derive(spark, sf_dir, "orders", NOTES)), Q.chapter_index(files), Q.chapter_tables(files)).drop("edition")
+
+
 def owning_chapters(spark, sf_dir):
     files = _derive(spark, sf_dir, "customer", NAMES)
     return Q.owning_chapters(files, files.select("folder").distinct().withColumn("seq", F.explode(F.array(F.lit(5), F.lit(12), F.lit(16)))))
@@ -186,7 +192,7 @@ def chapter_strategies(spark, sf_dir):
 
 
 def queries() -> dict:
-    own = [promoted_chapters, ligature_repairs, anchored_titles, deep_headings, title_checks, new_file_names, book_documents, chapter_strategies, scan_only, silent_failures, ocr_problems, book_plan, source_lookup, violations, triage, index_totals, chapter_tables, chapter_index, scan_references, reference_lint, owning_chapters, lint_embeds, column_order, ocr_gutter, runin_pairs, backends, caption_owners, figure_gaps]
+    own = [promoted_chapters, ligature_repairs, anchored_titles, deep_headings, title_checks, new_file_names, book_documents, chapter_strategies, scan_only, silent_failures, ocr_problems, book_plan, source_lookup, violations, triage, index_totals, chapter_tables, chapter_index, scan_references, reference_lint, reference_lint_all, owning_chapters, lint_embeds, column_order, ocr_gutter, runin_pairs, backends, caption_owners, figure_gaps]
     return {f.__name__: f for f in own}
 
 
