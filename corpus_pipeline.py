@@ -10,6 +10,8 @@ from quire.llm import common, language, lines, near, queries, repeats
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: A text whose best language profile is less similar than this is in none of the learned languages.
 LEAST_SCORE = 0.2
+#: A repeated line of so many words goes whatever stands around it.
+PASSAGE_WORDS = 50
 
 
 def _documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -31,9 +33,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of runs of lines go; a document that loses every line goes."""
+    """Later copies of runs of lines and of lone passages go; a document that loses every line goes."""
     docs, texts = _documents(docs)
-    found = lines.line_dedup(texts)
+    found = lines.line_dedup(texts, passage_words=PASSAGE_WORDS)
     return _changed(docs, found.where("n_removed < n_lines"))
 
 

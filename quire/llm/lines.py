@@ -38,30 +38,44 @@ def run_names(lines: Column, length: int) -> Column:
     return doubled(names, length - step) if length > step else names
 
 
-def later_runs(docs: DataFrame, min_lines: int) -> DataFrame:
+def later_runs(docs: DataFrame, min_lines: int, passage_words: int | None = None) -> DataFrame:
     """(doc_id, runs): the maximal runs of lines, as [s, e) from 0, that are later copies.  ``docs`` comes from ``prepared``."""
     lines = F.split("text", "\n", -1)
     seen = docs.select("doc_id", lines.alias("lines")).where(F.size("lines") >= min_lines)
     # Whether a run has a visible character is part of what is exploded, not of its name.
     visible = F.transform("lines", lambda x: F.length(F.regexp_replace(x, r"\s+", "")) > 0)
     at = seen.select("doc_id", visible.alias("visible"), run_names(F.col("lines"), min_lines).alias("names"))
+    pieces = [_later(at, min_lines)]
+    if passage_words is not None and min_lines > 1:
+        # Lines that are no passage count as without a visible character.
+        passage = F.transform("lines", lambda x: F.regexp_count(x, F.lit(r"\S+")) >= passage_words)
+        alone = docs.select("doc_id", lines.alias("lines")).select("doc_id", passage.alias("visible"), run_names(F.col("lines"), 1).alias("names"))
+        pieces.append(_later(alone, 1))
+    later = pieces[0] if len(pieces) == 1 else pieces[0].unionByName(pieces[1])
+    w = Window.partitionBy("doc_id").orderBy("s", "e")
+    reached = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    island = later.withColumn("new", F.coalesce((F.col("s") > reached).cast("int"), F.lit(1))).withColumn("island", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = island.groupBy("doc_id", "island").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+    return runs.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("runs"))
+
+
+def _later(at: DataFrame, min_lines: int) -> DataFrame:
+    """(doc_id, s, e): the runs of ``min_lines`` lines that are later copies; ``at`` has visible and names for each document."""
     at = at.select("doc_id", "visible", F.posexplode("names").alias("pos", "name")).where(F.exists(F.slice("visible", F.col("pos") + 1, min_lines), lambda v: v))
     at = at.select("doc_id", "pos", F.col("name.x").alias("x"), F.col("name.y").alias("y"))
     first = at.groupBy("x", "y").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "pos")).alias("first")).where("c > 1").drop("c")
-    later = at.join(first, ["x", "y"]).where(F.struct("doc_id", "pos") > F.col("first")).select("doc_id", "pos")
-    w = Window.partitionBy("doc_id").orderBy("pos")
-    new = F.coalesce((F.col("pos") > F.lag("pos").over(w) + min_lines).cast("int"), F.lit(1))
-    island = later.withColumn("new", new).withColumn("island", F.sum("new").over(w))
-    runs = island.groupBy("doc_id", "island").agg(F.min("pos").alias("s"), (F.max("pos") + min_lines).alias("e"))
-    return runs.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("runs"))
+    return at.join(first, ["x", "y"]).where(F.struct("doc_id", "pos") > F.col("first")).select("doc_id", F.col("pos").alias("s"), (F.col("pos") + min_lines).alias("e"))
+
 
+def line_dedup(docs: DataFrame, min_lines: int = 2, passage_words: int | None = None) -> DataFrame:
+    """doc_id, text (without later copies), n_lines, n_removed, n_runs, longest_run for every document.
 
-def line_dedup(docs: DataFrame, min_lines: int = 2) -> DataFrame:
-    """doc_id, text (without later copies), n_lines, n_removed, n_runs, longest_run for every document."""
+    With ``passage_words``, a single line of as many words or more is a run of its own.
+    """
     if min_lines < 1:
         raise ValueError("min_lines must be 1 or more")
     docs, ids = common.prepared(docs)
-    joined = docs.join(later_runs(docs, min_lines).hint("shuffle_hash"), "doc_id", "left").withColumn("lines", F.split("text", "\n", -1))
+    joined = docs.join(later_runs(docs, min_lines, passage_words).hint("shuffle_hash"), "doc_id", "left").withColumn("lines", F.split("text", "\n", -1))
     size = F.size("lines")
     # What stays lies between the runs: before the first, between neighbours, after the last.
     froms = F.concat(F.array(F.lit(0)), F.transform("runs", lambda r: r["e"]))

@@ -141,6 +141,18 @@ def test_lines(docs, rows, empty, size):
         assert lines.line_dedup(empty).count() == 0
 
 
+def test_lone_passages(spark):
+    """A long line goes wherever it comes again, alone or beside a repeated run; the pipeline asks for that."""
+    import corpus_pipeline
+
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = {1: f"a\n{passage}\nb", 2: f"c\n{passage}\nd", 3: passage, 4: f"short\nd\n{passage}\na\nb", 5: "a\nshort", 6: f"{passage}\nb\n{passage}"}
+    frame = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_removed, r.n_runs) for r in lines.line_dedup(frame, 2, passage_words=60).collect()}
+    assert got == {1: (texts[1], 0, 0), 2: ("c\nd", 1, 1), 3: ("", 1, 1), 4: ("short\nd\na\nb", 1, 1), 5: (texts[5], 0, 0), 6: ("", 3, 1)}
+    assert {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, frame, "").collect()} == {k: t for k, (t, n, _) in got.items() if t}
+
+
 def test_chat(spark):
     rows = [(1, 0, "a", "Hello there.\n\nHow do I sort a list?"), (1, 1, "b", "> How do I  sort a LIST?\nUse sorted().\nIt is stable."), (1, 2, "a", "On Monday b wrote:\n> > How do I sort a list?\n> Use sorted().\n> It is stable.\nThanks!"), (1, 3, "c", "unrelated"), (1, 4, "c", "> nothing known\nx"), (None, 0, None, None), (1, 5, "d", ">Thanks!\n:)"), (2, 1, "d", "> Thanks!"), (1, 3, "c", "unrelated")]
     frame = spark.createDataFrame([(*r, 1, 2) for r in rows], "conv_id long, turn long, role string, text string, passage int, depth int")
