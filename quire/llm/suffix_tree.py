@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,8 @@ LEAST_NEXT = 2
 MOST = (1 << 32) - 1
 #: What a pair takes on its way to a bucket.
 PAIR_BYTES = 28
+#: Pairs go to the buckets in so many turns, so that a part of them is on disk at a time.
+TURNS = 4
 PAGES = "page long, ids binary, held binary, first binary, words binary, tokens binary, sent binary"
 
 
@@ -259,20 +262,25 @@ def started(paged: DataFrame, counted: DataFrame, buckets: int, below: float) ->
 def deeper(state: DataFrame, depth: int, buckets: int, least: float, divergence: float, prior: float) -> DataFrame:
     """The pages with the contexts of one more depth."""
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                p = Page(row, depth, least)
-                order, parts = _dealt(p.pair, buckets)
-                columns = [x[order] for x in (p.pair, p.pair_context, p.pair_n, p.pair_q)]
-                yield _batch([(b, row["page"], *[x[i:j].tobytes() for x in columns]) for b, i, j in parts], SENT)
+    def pairs(turn: int):
+        """The pairs of the buckets whose turn it is."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    p = Page(row, depth, least)
+                    order, parts = _dealt(p.pair, buckets)
+                    columns = [x[order] for x in (p.pair, p.pair_context, p.pair_n, p.pair_q)]
+                    yield _batch([(b, row["page"], *[x[i:j].tobytes() for x in columns]) for b, i, j in parts if b % TURNS == turn], SENT)
+
+        return run
 
     def added(table: pa.Table) -> pa.Table:
         bucket, page = table.column("bucket")[0].as_py(), table.column("page").to_pylist()
         read = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in table.column(c).to_pylist()])
         key, at, which = np.unique(read("key", np.uint64), return_index=True, return_inverse=True)
         n = np.bincount(which, read("n", "<u4"), len(key))
-        back = n.astype("<u8")[which]
+        back = np.minimum(n, MOST).astype("<u4")[which]
         ends = np.cumsum([0, *(len(x) // 8 for x in table.column("key").to_pylist())]).tolist()
         rows = [(bucket, p, None, back[i:j].tobytes(), None, None) for p, i, j in zip(page, ends, ends[1:])]
         trained = np.flatnonzero(n)
@@ -319,7 +327,7 @@ def deeper(state: DataFrame, depth: int, buckets: int, least: float, divergence:
         rows = []
         for row in left.to_pylist():
             p = Page(row, depth, least)
-            n = _answered(p.pair, buckets, n_of, "<u8")[p.of_pair]
+            n = _answered(p.pair, buckets, n_of, "<u4")[p.of_pair]
             total, rest = (_answered(p.context, buckets, x, "<f8")[p.of_context] for x in (total_of, rest_of))
             q = p.q[p.use]
             own = np.where(n >= LEAST_NEXT, np.log((n + prior * np.exp(q)) / (total + prior)), rest + q)
@@ -330,7 +338,11 @@ def deeper(state: DataFrame, depth: int, buckets: int, least: float, divergence:
             rows.append((*[row[c] for c in ("page", "ids", "held", "first", "words", "tokens", "counts")], p.q.tobytes(), p.gram.tobytes(), p.alive.tobytes(), int(p.alive.sum())))
         return pa.Table.from_batches([_batch(rows, STATE)])
 
-    counted = common.cut(state.mapInArrow(pairs, SENT).groupBy("bucket").applyInArrow(added, ANSWER), "pairs")
+    turns = []
+    for turn in range(min(TURNS, buckets)):
+        turns.append(common.cut(state.mapInArrow(pairs(turn), SENT).groupBy("bucket").applyInArrow(added, ANSWER), "pairs"))
+        state.sparkSession._jvm.System.gc()  # the shuffle of one turn goes before the next
+    counted = reduce(DataFrame.unionByName, turns)
     asked = counted.where("page is null").unionByName(state.mapInArrow(contexts, ANSWER))
     told = counted.where("page is not null").unionByName(asked.groupBy("bucket").applyInArrow(judged, ANSWER))
     made = common.cut(state.groupBy("page").cogroup(told.groupBy("page")).applyInArrow(moved, STATE), "state")
