@@ -1,20 +1,23 @@
 """Near-duplicate documents: bottom-k sketches from one hash function.
 
 1. Every text becomes its set of word shingles; texts with the same set form one class at once.
-2. A class keeps the k smallest hashes of its set.  Inverted lists of the retained values say how many
-   values classes share.  Two sets with a Jaccard similarity s share about s * k of them; fewer than
-   ``overlap(k)`` shared values have a probability below 1e-7 at s = 0.8 and k = 40.  A class whose
-   shared values are fewer than that has no partner; of the others only the rarest values are listed
-   that any partner must hit (prefix filtering with the overlap as threshold).
-3. Short lists propose all pairs.  Long lists propose their members to a few of them first; then members
-   outside a list's largest component become pivots, ever more of them, until all pairs that are not
-   connected have been proposed.  No list is collected, capped or skipped.
-4. Proposals pass the size bound and the similarity estimated from the union of both sketches; exact
-   Jaccard on the full shingle sets confirms each link.
+2. A class keeps the k smallest hashes of its set (all, if it has no more).  Two sets that are similar
+   enough share a known number of retained values: exactly known for whole sets, known up to a
+   probability of ``MISSED`` for others (a binomial tail bounds the draws without replacement).
+3. Inverted lists hold, for every class, only its rarest values that any partner must hit (prefix
+   filtering); classes with too few values in common with anyone are in no list.  A value's rank among
+   its class's values bounds how many more two classes can share, which decides whether a meeting counts.
+4. Stars before pairs: every list proposes its members to a few leaders.  Then members outside the
+   largest component of a short list meet those of other components.  Classes of long lists that are
+   still in several components get sketches ``wide`` / ``k`` times as long, ranked among themselves: what a
+   hot group has in common becomes common there too and leaves the lists, and the same two steps settle them.
+   Every similar pair that is not connected yet is proposed; nothing is capped.
+5. Proposals pass the similarity estimated from the union of both sketches (which is exact for whole
+   sets); exact Jaccard on the full shingle sets confirms each other link.
 
 Texts that are null, empty or without words have no shingles and link with nothing.  Rows that share a
 doc_id are documents of their own (``common.keyed``) and give a row each.  Ties cannot arise: components are named
-by their smallest id.
+by their smallest id.  An empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,12 +35,55 @@ from quire.llm import common
 from quire.llm.components import components
 from quire.llm.shingles import shingle_sets
 
-SHARE = 0.42
+#: The probability with which a bound on the values that a similar pair shares may fail.
+MISSED = 1e-8
 
 
-def overlap(size: Column) -> Column:
-    """The least number of retained values that a partner shares."""
-    return F.greatest(F.lit(1), F.ceil(size * SHARE))
+def least_shared(k: int, percent: int) -> int:
+    """The largest m such that fewer than m of k draws with ``percent`` chances hit with a probability of ``MISSED`` at most."""
+    p, below = percent / 100, 0.0
+    for m in range(k):
+        below += math.exp(math.lgamma(k + 1) - math.lgamma(m + 1) - math.lgamma(k - m + 1) + m * math.log(p) + (k - m) * math.log(max(1 - p, 1e-300)))
+        if below > MISSED:
+            return m
+    return k
+
+
+class Bounds:
+    """What two sets of sizes na and nb with similarity ``percent`` or more must have in common."""
+
+    def __init__(self, k: int, percent: int):
+        self.k, self.percent, self.shared = k, percent, least_shared(k, percent)
+
+    def alike(self, a: Column, b: Column) -> Column:
+        """Whether the sizes allow the similarity."""
+        return 100 * F.least(a, b) >= self.percent * F.greatest(a, b)
+
+    def for_any(self, n: Column) -> Column:
+        """The least number of retained values shared with any partner."""
+        whole = F.ceil(self.percent * n / 100)
+        # A partner has at most n * (100 / percent - 1) values that n lacks.
+        part = F.least(n, F.lit(self.k)) - F.least(F.floor(n * (100 - self.percent) / self.percent), F.lit(self.k - self.shared))
+        return F.greatest(F.lit(1), F.when(100 * n <= self.percent * self.k, whole).otherwise(part)).cast("int")
+
+    def meet(self, na: Column, ia: Column, nb: Column, ib: Column) -> Column:
+        """Whether a similar pair can have its rarest shared value at ranks ia and ib (from 0).
+
+        The pair shares t values.  Of the sketch whose largest hash is smaller, every shared value is in the other
+        sketch too; it misses no more than the set does, and no more than Bernstein's bound on draws.
+        """
+        t = F.ceil(self.percent * (na + nb) / (100 + self.percent))
+        lost = -math.log(MISSED)
+
+        def least(n: Column) -> tuple[Column, Column]:
+            s = F.least(n, F.lit(self.k))
+            p = t / n
+            draws = s * (1 - p) + lost / 3 + F.sqrt(lost * lost / 9 + 2 * lost * F.greatest(s * p * (1 - p), F.lit(0.0)))
+            return s, s - F.least(n - t, F.floor(draws))
+
+        (sa, a), (sb, b) = least(na), least(nb)
+        shared = F.greatest(F.least(a, b), F.lit(1))
+        return self.alike(na, nb) & (ia <= sa - shared) & (ib <= sb - shared)
 
 
 def sketches(docs: DataFrame, width: int, k: int, chunk: int = 1 << 20) -> DataFrame:
@@ -95,9 +141,8 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
 class _Search:
     """The state of one run: sketches, texts, links found so far and the components they make."""
 
-    def __init__(self, classes: DataFrame, texts: DataFrame, width: int, percent: int, k: int):
-        self.classes, self.texts = classes, texts
-        self.width, self.percent, self.k = width, percent, k
+    def __init__(self, classes: DataFrame, texts: DataFrame, width: int, bounds: Bounds):
+        self.classes, self.texts, self.width, self.bounds = classes, texts, width, bounds
         self.links: DataFrame | None = None
         self.of: DataFrame | None = None  # node, component
 
@@ -105,24 +150,48 @@ class _Search:
         """The lists with each member's component."""
         return lists.join(self.of.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep")).drop("component")
 
-    def alike(self, a: Column | str, b: Column | str) -> Column:
-        """Whether two set sizes allow the similarity."""
-        return 100 * F.least(a, b) >= self.percent * F.greatest(a, b)
-
     def test(self, pairs: DataFrame) -> None:
-        """Estimate, verify and merge the links among candidate pairs (a < b)."""
-        c, k = self.classes, self.k
-        left = c.select(F.col("rep").alias("a"), F.col("sketch").alias("sa"))
-        right = c.select(F.col("rep").alias("b"), F.col("sketch").alias("sb"))
-        near = pairs.distinct().join(left, "a").join(right, "b")
+        """Estimate, verify and merge the links among candidate pairs."""
+        k, percent = self.bounds.k, self.bounds.percent
+        c = self.classes
+        left = c.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+        right = c.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+        pairs = common.cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+        near = pairs.join(left, "a").join(right, "b")
+        whole = (F.col("na") <= k) & (F.col("nb") <= k)
+        same = F.size(F.array_intersect("sa", "sb"))
         union = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, k)
-        same = F.size(F.array_intersect(F.array_intersect("sa", "sb"), union))
-        near = common.cut(near.where(same >= F.floor(F.size(union) * SHARE)).select("a", "b"), "near")
-        found = common.cut(verified(near, self.texts, self.width, self.percent), "links")
-        new = found.limit(1).count() > 0
-        if self.links is None or new:
-            self.links = found if self.links is None else self.links.unionByName(found)
-            self.of = common.cut(components(self.links), "components")
+        drawn = F.size(F.array_intersect(F.array_intersect("sa", "sb"), union)) >= self.bounds.shared
+        near = near.where(F.when(whole, 100 * same >= percent * (F.col("na") + F.col("nb") - same)).otherwise(drawn))
+        near = common.cut(near.select("a", "b", whole.alias("whole")), "near")
+        found = near.where("whole").select("a", "b").unionByName(verified(near.where("not whole").select("a", "b"), self.texts, self.width, percent))
+        found = common.cut(found, "links")
+        if self.links is None:
+            self.links = found
+        elif found.limit(1).count():
+            self.links = self.links.unionByName(found)
+        else:
+            return
+        self.of = common.cut(components(self.links), "components")
+
+    def stars(self, lists: DataFrame, bounds: Bounds, leaders: int) -> None:
+        """Propose the members of every list to its smallest one and to others chosen by hashes."""
+        own = F.struct("rep", "n", "i")
+        chosen = [F.min(F.struct("rep", "n", "i")).alias("p0")]
+        chosen += [F.min(F.struct(F.xxhash64("rep", F.lit(j)).alias("h"), own.alias("m")))["m"].alias(f"p{j}") for j in range(1, leaders)]
+        led = lists.groupBy("v").agg(F.count("*").alias("c"), *chosen).where("c > 1").drop("c")
+        met = lists.join(led, "v").select("rep", "n", "i", F.explode(F.array_distinct(F.array(*[f"p{j}" for j in range(leaders)]))).alias("p"))
+        met = met.where((F.col("rep") != F.col("p.rep")) & bounds.meet(F.col("n"), F.col("i"), F.col("p.n"), F.col("p.i")))
+        self.test(met.select(F.col("rep").alias("a"), F.col("p.rep").alias("b")))
+
+    def rest(self, lists: DataFrame, bounds: Bounds) -> None:
+        """Propose the members outside each list's largest component to those of other components."""
+        labelled = common.cut(self.labelled(lists), "labelled")
+        main = labelled.groupBy("v", "comp").agg(F.count("*").alias("k")).groupBy("v").agg(F.max(F.struct("k", "comp"))["comp"].alias("main"), F.count("*").alias("parts")).where("parts > 1")
+        outside = labelled.join(main.select("v", "main"), "v").where("comp <> main")
+        x = outside.select("v", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("i").alias("ia"), F.col("comp").alias("ca"))
+        y = labelled.select("v", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("i").alias("ib"), F.col("comp").alias("cb"))
+        self.test(x.join(y, "v").where((F.col("ca") != F.col("cb")) & bounds.meet(F.col("na"), F.col("ia"), F.col("nb"), F.col("ib"))).select("a", "b"))
 
 
 def classes_of(sketched: DataFrame) -> DataFrame:
@@ -131,56 +200,46 @@ def classes_of(sketched: DataFrame) -> DataFrame:
     return sketched.where("n_shingles > 0").groupBy("set_key").agg(first).select("set_key", F.col("m.doc_id").alias("rep"), F.col("m.n_shingles").alias("n"), F.col("m.sketch").alias("sketch"))
 
 
-def rare_lists(classes: DataFrame) -> DataFrame:
-    """(v, rep, n): for each class that can have a partner, the rarest shared values that any partner hits."""
-    postings = classes.select("rep", "n", F.size("sketch").alias("s"), F.explode("sketch").alias("v"))
+def rare_lists(classes: DataFrame, bounds: Bounds) -> DataFrame:
+    """(v, rep, n, i): for each class that can have a partner, the rarest values that any partner hits and their ranks."""
+    postings = classes.select("rep", "n", F.explode("sketch").alias("v"))
     shared = postings.groupBy("v").agg(F.count("*").alias("c")).where("c > 1")
-    each = postings.join(shared, "v").groupBy("rep").agg(F.first("s").alias("s"), F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("c", "v"))).alias("vs"))  # k values at most
-    need = overlap(F.col("s")).cast("int")
-    viable = each.where(F.size("vs") >= need)
-    return viable.select("rep", "n", F.explode(F.slice("vs", F.lit(1), F.size("vs") - need + 1)).alias("x")).select(F.col("x.v").alias("v"), "rep", "n")
+    each = postings.join(shared, "v").groupBy("rep").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("c", "v"))).alias("vs"))  # k values at most
+    # Values that no other class has come first in the order and are not listed.
+    alone = F.least(F.col("n"), F.lit(bounds.k)) - F.size("vs")
+    need = bounds.for_any(F.col("n"))
+    viable = each.where(F.size("vs") >= need).select("rep", "n", alone.alias("alone"), F.posexplode(F.slice("vs", F.lit(1), F.size("vs") - need + 1)).alias("at", "x"))
+    return viable.select(F.col("x.v").alias("v"), "rep", "n", (F.col("alone") + F.col("at")).alias("i"))
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 40, short: int = 24, leaders: int = 4, pivots: int = 32) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 64, short: int = 24, wide: int = 1024, leaders: int = 2) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every document.
 
-    ``short`` divides lists whose pairs are all proposed at once from those that are worked off by
-    pivots; both ways propose every pair of members that is not connected.
+    ``short`` divides lists whose remaining members meet at once from those whose members get sketches
+    of ``wide`` values first; both ways propose every similar pair that is not connected.
     """
+    if not 1 <= percent <= 100 or k < 1 or wide < k:
+        raise ValueError("percent must lie in 1..100, k be positive and wide no less than k")
     docs, ids = common.prepared(docs)
+    bounds, wider = Bounds(k, percent), Bounds(wide, percent)
     sketched = common.cut(sketches(docs, width, k), "sketches")
     classes = common.cut(classes_of(sketched), "classes")
-    lists = common.cut(rare_lists(classes), "lists")
+    lists = common.cut(rare_lists(classes.select("rep", "n", "sketch"), bounds), "lists")
     wanted = lists.select(F.col("rep").alias("doc_id")).distinct()
     texts = common.cut(docs.join(wanted, "doc_id", "left_semi"), "texts")
-    search = _Search(classes.select("rep", "sketch"), texts, width, percent, k)
-
-    smallest = [F.min(F.struct(F.xxhash64("rep", F.lit(i)), "rep", "n"))["rep"].alias(f"p{i}") for i in range(1, leaders)]
-    sizes = lists.groupBy("v").agg(F.count("*").alias("c"), F.min("rep").alias("p0"), *smallest).where("c > 1")
-    member = common.cut(lists.join(sizes, "v"), "members")
-    few = member.where(F.col("c") <= short)
-    x, y = few.select("v", F.col("rep").alias("a"), F.col("n").alias("na")), few.select("v", F.col("rep").alias("b"), F.col("n").alias("nb"))
-    pairs = x.join(y, "v").where((F.col("a") < F.col("b")) & search.alike("na", "nb")).select("a", "b")
-    many = member.where(F.col("c") > short)
-    star = many.select("rep", F.explode(F.array_distinct(F.array(*[f"p{i}" for i in range(leaders)]))).alias("p")).where("rep <> p")
-    search.test(pairs.unionByName(star.select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b"))))
-
-    many = common.cut(many.select("v", "rep", "n"), "long")
-    used = many.select("v", "rep").limit(0)
-    while True:
-        labelled = common.cut(search.labelled(many), "labelled")
-        largest = labelled.groupBy("v", "comp").agg(F.count("*").alias("k")).groupBy("v").agg(F.max(F.struct("k", "comp"))["comp"].alias("main"), F.sum("k").alias("c"))
-        outside = common.cut(labelled.join(largest, "v").where("comp <> main").join(used, ["v", "rep"], "left_anti"), "outside")
-        if outside.limit(1).count() == 0:
-            break
-        left = outside.groupBy("v").agg(F.count("*").alias("left"))
-        # A hash picks about as many pivots of each list as the round allows, and all if they are fewer.
-        share = F.pmod(F.xxhash64("v", "rep"), F.lit(1 << 20)) * F.col("left") < F.lit(pivots << 20)
-        chosen = common.cut(outside.join(left, "v").where(share | (F.col("left") <= pivots)).select("v", F.col("rep").alias("pivot"), F.col("n").alias("np"), F.col("comp").alias("cp")), "pivots")
-        met = labelled.join(chosen, "v").where((F.col("comp") != F.col("cp")) & search.alike("n", "np"))
-        search.test(met.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")))
-        used = common.cut(used.unionByName(chosen.select("v", F.col("pivot").alias("rep"))), "used")
-        pivots *= 8
+    search = _Search(classes.select("rep", "n", "sketch"), texts, width, bounds)
+
+    search.stars(lists, bounds, leaders)
+    sizes = lists.groupBy("v").agg(F.count("*").alias("c"))
+    search.rest(lists.join(sizes.where((F.col("c") > 1) & (F.col("c") <= short)).select("v"), "v", "left_semi"), bounds)
+    long = search.labelled(lists.join(sizes.where(F.col("c") > short).select("v"), "v", "left_semi"))
+    open_lists = long.groupBy("v").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("v")
+    hot = long.join(open_lists, "v", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
+    again = common.cut(sketches(texts.join(hot, "doc_id", "left_semi"), width, wide).select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sketch"), "wide")
+    lists = common.cut(rare_lists(again, wider), "lists")
+    if lists.limit(1).count():
+        search.stars(lists, wider, 2 * leaders)
+        search.rest(lists, wider)
 
     named = classes.select("set_key", "rep").join(search.of.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("set_key", F.coalesce("component", "rep").alias("c"))

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -267,12 +268,43 @@ def brute_near(texts, width, percent):
 
 @pytest.mark.parametrize("width,short", [(2, 24), (5, 2)])
 def test_near(docs, rows, empty, width, short):
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near.near_duplicates(docs, width, 80, short=short, pivots=2).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near.near_duplicates(docs, width, 80, short=short).collect()}
     assert got == brute_near(by_id(rows), width, 80)
     if width == 2:
         assert near.near_duplicates(empty).count() == 0
 
 
+def test_near_hot_group(spark):
+    """A group of near copies around the threshold, some of them alone, and texts that share a passage only."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=6))
+    base, passage = [word() for _ in range(150)], [word() for _ in range(90)]
+    texts = {}
+    for i in range(160):
+        w = list(base)
+        for j in rng.sample(range(150), rng.choice((1, 3, 6, 8, 9, 10, 12, 20))):
+            w[j] = word()
+        texts[i] = " ".join(w).encode()
+    for i in range(160, 240):
+        texts[i] = " ".join(passage + [word() for _ in range(rng.choice((8, 12, 30)))]).encode()
+    frame = spark.createDataFrame([(k, t.decode()) for k, t in texts.items()], "doc_id long, text string")
+    want = brute_near(texts, 2, 80)
+    assert 20 < len(set(c for _, c in want.values())) < 240
+    for k, wide in ((64, 1024), (40, 96), (512, 512)):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in near.near_duplicates(frame, 2, 80, k=k, wide=wide, short=8).collect()}
+        assert got == want
+
+
+def test_near_bounds():
+    assert near.least_shared(40, 100) == 40 and near.least_shared(64, 80) < 0.8 * 64
+    # The chance to share fewer values is small whatever the similarity and the size of the sketch.
+    from math import comb
+
+    for k, percent in ((10, 50), (40, 80), (64, 60)):
+        m, p = near.least_shared(k, percent), percent / 100
+        assert sum(comb(k, i) * p**i * (1 - p) ** (k - i) for i in range(m)) <= near.MISSED
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (102, 100), (7, 7), (200, 200)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
