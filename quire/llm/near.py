@@ -104,6 +104,14 @@ def sketches(docs: DataFrame, width: int, k: int, chunk: int = 1 << 20) -> DataF
     return common.named(docs, "doc_id", "text").mapInArrow(run, ddl)
 
 
+def both_sides(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """The pairs (a, b) with what ``left`` has for a and ``right`` for b.
+
+    Each side is found by itself, so that only the rows of pairs travel where the pairs are few.
+    """
+    return pairs.join(left, "a").join(pairs.select("a", "b").join(right, "b"), ["a", "b"])
+
+
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets have a Jaccard similarity of ``percent`` or more."""
     out_schema = common.arrow_schema("a long, b long")
@@ -134,8 +142,7 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
             yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], pa.int64()) for c in (0, 1)], schema=out_schema)
 
     t = texts.select("doc_id", "text")
-    joined = pairs.join(t.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(t.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-    return joined.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return both_sides(pairs, t.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), t.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))).select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
 class _Search:
@@ -157,7 +164,7 @@ class _Search:
         left = c.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
         right = c.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
         pairs = common.cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-        near = pairs.join(left, "a").join(right, "b")
+        near = both_sides(pairs, left, right)
         whole = (F.col("na") <= k) & (F.col("nb") <= k)
         same = F.size(F.array_intersect("sa", "sb"))
         union = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, k)
@@ -166,6 +173,7 @@ class _Search:
         near = common.cut(near.select("a", "b", whole.alias("whole")), "near")
         found = near.where("whole").select("a", "b").unionByName(verified(near.where("not whole").select("a", "b"), self.texts, self.width, percent))
         found = common.cut(found, "links")
+        common.discard(pairs, near)
         if self.links is None:
             self.links = found
         elif found.limit(1).count():
@@ -203,8 +211,9 @@ def classes_of(sketched: DataFrame) -> DataFrame:
 def rare_lists(classes: DataFrame, bounds: Bounds) -> DataFrame:
     """(v, rep, n, i): for each class that can have a partner, the rarest values that any partner hits and their ranks."""
     postings = classes.select("rep", "n", F.explode("sketch").alias("v"))
-    shared = postings.groupBy("v").agg(F.count("*").alias("c")).where("c > 1")
-    each = postings.join(shared, "v").groupBy("rep").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("c", "v"))).alias("vs"))  # k values at most
+    shared = common.cut(postings.groupBy("v").agg(F.count("*").alias("c")).where("c > 1"), "shared")
+    # Never broadcast: both sides grow with the corpus.
+    each = postings.join(shared.hint("merge"), "v").groupBy("rep").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("c", "v"))).alias("vs"))  # k values at most
     # Values that no other class has come first in the order and are not listed.
     alone = F.least(F.col("n"), F.lit(bounds.k)) - F.size("vs")
     need = bounds.for_any(F.col("n"))
@@ -212,33 +221,34 @@ def rare_lists(classes: DataFrame, bounds: Bounds) -> DataFrame:
     return viable.select(F.col("x.v").alias("v"), "rep", "n", (F.col("alone") + F.col("at")).alias("i"))
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 64, short: int = 24, wide: int = 1024, leaders: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 64, short: int = 24, wide: int = 1024, leaders: int = 4) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every document.
 
     ``short`` divides lists whose remaining members meet at once from those whose members get sketches
-    of ``wide`` values first; both ways propose every similar pair that is not connected.
+    of ``wide`` values first; both ways propose every similar pair that is not connected.  ``leaders`` is the
+    number of members that such lists are proposed to before.
     """
     if not 1 <= percent <= 100 or k < 1 or wide < k:
         raise ValueError("percent must lie in 1..100, k be positive and wide no less than k")
     docs, ids = common.prepared(docs)
     bounds, wider = Bounds(k, percent), Bounds(wide, percent)
-    sketched = common.cut(sketches(docs, width, k), "sketches")
-    classes = common.cut(classes_of(sketched), "classes")
+    full = common.cut(sketches(docs, width, k), "sketches")
+    classes = common.cut(classes_of(full), "classes")
+    sketched = common.cut(full.drop("sketch"), "sets")
+    common.discard(full)
     lists = common.cut(rare_lists(classes.select("rep", "n", "sketch"), bounds), "lists")
-    wanted = lists.select(F.col("rep").alias("doc_id")).distinct()
-    texts = common.cut(docs.join(wanted, "doc_id", "left_semi"), "texts")
-    search = _Search(classes.select("rep", "n", "sketch"), texts, width, bounds)
+    search = _Search(classes.select("rep", "n", "sketch"), docs, width, bounds)
 
-    search.stars(lists, bounds, leaders)
+    search.stars(lists, bounds, 1)
     sizes = lists.groupBy("v").agg(F.count("*").alias("c"))
     search.rest(lists.join(sizes.where((F.col("c") > 1) & (F.col("c") <= short)).select("v"), "v", "left_semi"), bounds)
     long = search.labelled(lists.join(sizes.where(F.col("c") > short).select("v"), "v", "left_semi"))
     open_lists = long.groupBy("v").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("v")
     hot = long.join(open_lists, "v", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
-    again = common.cut(sketches(texts.join(hot, "doc_id", "left_semi"), width, wide).select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sketch"), "wide")
+    again = common.cut(sketches(docs.join(hot, "doc_id", "left_semi"), width, wide).select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sketch"), "wide")
     lists = common.cut(rare_lists(again, wider), "lists")
     if lists.limit(1).count():
-        search.stars(lists, wider, 2 * leaders)
+        search.stars(lists, wider, leaders)
         search.rest(lists, wider)
 
     named = classes.select("set_key", "rep").join(search.of.withColumnRenamed("node", "rep"), "rep", "left")
