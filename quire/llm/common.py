@@ -33,13 +33,16 @@ def cut(df: DataFrame, name: str = "step") -> DataFrame:
 
 
 def discard(*frames: DataFrame) -> None:
-    """Delete what ``cut`` wrote for frames that nothing reads any more, and let go of the shuffles before it."""
+    """Delete what ``cut`` or ``cut_by`` wrote for frames that nothing reads any more, and let go of the shuffles before it."""
     for df in frames:
         jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
         for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            if "/quire-" in folder:
+            if "/quire-" in folder or "/quire_" in folder:
                 path = jvm.org.apache.hadoop.fs.Path(folder)
                 path.getFileSystem(conf).delete(path, True)
+                label = folder.rpartition("/")[2]
+                if label.startswith("quire_"):
+                    df.sparkSession.sql(f"DROP TABLE IF EXISTS {label}")
         jvm.System.gc()
 
 

@@ -52,7 +52,7 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return suffix_tree.suffix_tree_scores(docs.select("doc_id", "text", (language.remainder("doc_id", 5) == 1).alias("held_out")))
+    return suffix_tree.suffix_tree_scores(docs.select("doc_id", "text", (language.remainder("doc_id", 5) == 1).alias("held_out")), represented=True)
 
 
 def op8_near(spark: SparkSession, sf_dir: str) -> DataFrame:

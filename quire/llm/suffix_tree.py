@@ -3,29 +3,33 @@
 Symbols are all words and the end of text (which also stands before the first word).  A context of any
 length with at least ``least_context`` training occurrences is kept if its suffix is kept and its
 next-symbol counts diverge from those of its suffix: the log-likelihood ratio must reach ``divergence``,
-and one next symbol must be seen twice (else the context would say what its suffix says).
+and one next symbol must be seen twice (else the context would say what its suffix says).  With
+``represented``, symbols seen once count as one symbol in that ratio, as in the distribution that is kept.
 Both are absolute, so the tree grows with the corpus, in width and in depth.  Next symbols seen twice or
 more are smoothed with the suffix's distribution, the rest of the mass goes to the suffix, so every state
 is a proper distribution; the root is the add-one-half word distribution.  A text is scored by the
 longest kept suffix at every word.
 
-The tree is never in one place.  Pages of words, stored once, send their distinct words to hash buckets
-and get the training counts back; then, depth by depth, their distinct (context, next symbol) pairs with
-the suffix's ln p, and their distinct contexts.  A bucket of pairs adds up the counts and, for each
-context, the sums that the divergence test and the smoothing need; a bucket of contexts adds up these
-sums.  A page sends a key once at most, so that a common one is as many entries as there are pages.
-Pairs go out only where the count of the words before, known from the depth above, reaches
-``least_context``.  Depths end when no context of the last one was kept.
+The tree is never in one place.  Pages of words, stored once and dealt by page, send their distinct words
+to hash buckets and get the training counts back.  A depth takes three exchanges.  Distinct (context, next
+symbol) pairs go out as four bytes each; a bit comes back for those that may have been seen twice.  Only
+these go out whole, with the suffix's ln p; a bucket of pairs adds up counts and, for each context, the
+sums that the divergence test and the smoothing need.  Contexts go out with what a page alone knows, their
+training occurrences and the part of the test that pairs seen once make up; a bucket of contexts adds up
+all sums and answers for those it keeps.  A page sends a key once at most, so that a common one is as many
+entries as there are pages.  Pairs go out only where the count of the words before, known from the depth
+above, reaches ``least_context``.  A page keeps places only for tokens whose context was kept; the others
+have their probability.  Depths end when no context of the last one was kept.
 
 Null texts count as empty (one token, the end).  Documents of any length are scored whole; repeated rows
-are scored and counted like any other.  With nothing to learn from all counts are zero.
+are scored and counted like any other, ties cannot arise.  With nothing to learn from all counts are zero;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +39,8 @@ from pyspark.sql import functions as F
 from quire.llm import common
 from quire.llm.shingles import word_hashes
 
-#: The end of text in place of a word's hash.
-END = np.uint64(0)
+#: The end of text in place of a word's hash, and words seen once or never in training, which no context needs.
+END, ONCE, NEVER = np.uint64(0), np.uint64(1), np.uint64(2)
 PAGE = 3 << 19
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 #: The count from which a next symbol has its own probability.
@@ -45,11 +49,18 @@ LEAST_NEXT = 2
 MOST = (1 << 32) - 1
 #: What a pair takes on its way to a bucket.
 PAIR_BYTES = 28
-#: Pairs go to the buckets in so many turns, so that a part of them is on disk at a time.
-TURNS = 4
 PAGES = "page long, ids binary, held binary, first binary, words binary, tokens binary, sent binary"
 
 
+def _packed(x: np.ndarray, below: int) -> bytes:
+    """Numbers below ``below`` in two or four bytes each; ``_unpacked`` knows which."""
+    return x.astype("<u2" if below <= 1 << 16 else "<u4").tobytes()
+
+
+def _unpacked(x: bytes, below: int) -> np.ndarray:
+    return np.frombuffer(x, "<u2" if below <= 1 << 16 else "<u4").astype(np.int64)
+
+
 def pages(docs: DataFrame, held: str) -> DataFrame:
     """Texts as rows of about 1.5 MB: document ids, folds, word offsets, distinct words, tokens and training counts."""
     out_schema = common.arrow_schema(PAGES)
@@ -63,13 +74,13 @@ def pages(docs: DataFrame, held: str) -> DataFrame:
             fold = np.array(batch.column(2).fill_null(False).to_pylist(), bool)
             for i, j in common.slices(offsets, PAGE):
                 h, first = word_hashes(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                h[h == END] = 1
+                h[h < 3] += np.uint64(3)
                 n = j - i
                 with_ends = np.insert(h, first[1:], END)
                 first = first + np.arange(n + 1)
                 words, tokens = np.unique(with_ends, return_inverse=True)
                 trained = np.bincount(tokens[~np.repeat(fold[i:j], np.diff(first))], minlength=len(words))
-                row = (uuid.uuid4().int >> 65, ids[i:j].tobytes(), fold[i:j].tobytes(), first.astype("<u4").tobytes(), words.tobytes(), tokens.astype("<u4").tobytes(), trained.astype("<u4").tobytes())
+                row = (uuid.uuid4().int >> 65, ids[i:j].tobytes(), fold[i:j].tobytes(), first.astype("<u4").tobytes(), words.tobytes(), _packed(tokens, len(words)), trained.astype("<u4").tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, out_schema)], schema=out_schema)
 
     return docs.select("doc_id", "text", F.col(held).alias("held")).mapInArrow(run, PAGES)
@@ -191,27 +202,45 @@ def context_keys(symbol: np.ndarray, first: np.ndarray, depth: int) -> tuple[np.
 class Page:
     """A page at one depth: what it asks for, in an order that does not depend on when it asks."""
 
-    def __init__(self, row: dict, depth: int, least: float):
-        self.ids, self.fold = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["held"], bool)
+    def __init__(self, row: dict, depth: int, below: float, least: float):
+        self.row, self.depth = row, depth
         self.first = np.frombuffer(row["first"], np.uint32).astype(np.int64)
-        self.count = np.frombuffer(row["counts"], "<u8")
-        self.tokens = np.frombuffer(row["tokens"], np.uint32)
-        self.q, self.gram, self.alive = np.frombuffer(row["q"], "<f8").copy(), np.frombuffer(row["gram"], "<u4").copy(), np.frombuffer(row["alive"], bool).copy()
-        if not depth:
+        self.words, self.count = np.frombuffer(row["words"], np.uint64), np.frombuffer(row["counts"], "<u8")
+        tokens, n = _unpacked(row["tokens"], len(self.words)), int(self.first[-1])
+        self.gram = np.unpackbits(np.frombuffer(row["gram"], np.uint8), count=n).astype(bool)
+        if row["live"] is None:
+            self.live, self.q = np.arange(n), np.log((self.count + 0.5) / below)[tokens]
+        else:
+            self.live, self.q = np.frombuffer(row["live"], "<u4").astype(np.int64), np.frombuffer(row["q"], "<f8")
+        if not depth or not len(self.live):
+            self.use, self.context, self.pair = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
             return
-        symbol = np.frombuffer(row["words"], np.uint64)[self.tokens]
+        symbol = self.words[tokens]
         key, enough = context_keys(symbol, self.first, depth)
         # The words before a token are a context and its next symbol of the depth above, or fewer words: at least as frequent.
-        seen = np.append(self.gram[:1], self.gram[:-1]).astype(np.float64)
-        seen[self.first[:-1]] = self.count[0]  # the end comes first among the words
-        self.use = np.flatnonzero(self.alive & enough & (seen >= least))
-        self.context, self.of_context = np.unique(key[self.use], return_inverse=True)
-        pair = common.mix(key[self.use] * SPREAD + symbol[self.use])
-        self.pair, at, self.of_pair = np.unique(pair, return_index=True, return_inverse=True)
-        self.pair_context, self.pair_q = key[self.use][at], self.q[self.use][at]
-        trained = np.repeat(~self.fold, np.diff(self.first))[self.use]
+        seen = np.append(False, self.gram[:-1])
+        seen[self.first[:-1]] = self.count[self.words == END][0] >= least
+        self.gram = self.gram & (seen | ~enough)
+        self.use = np.flatnonzero((enough & seen)[self.live])  # of the live ones
+        at = self.live[self.use]
+        key, symbol = key[at], symbol[at]
+        trained = np.repeat(~np.frombuffer(row["held"], bool), np.diff(self.first))[at]
+        self.context, self.of_context = np.unique(key, return_inverse=True)
+        self.context_n = np.bincount(self.of_context, trained, len(self.context)).astype("<u4")
+        # A next symbol seen less than twice is in no pair seen twice.
+        self.paired = np.flatnonzero((symbol != ONCE) & (symbol != NEVER))
+        key, symbol, trained = key[self.paired], symbol[self.paired], trained[self.paired]
+        self.pair, first, self.of_pair = np.unique(common.mix(key * SPREAD + symbol), return_index=True, return_inverse=True)
+        self.pair_context, self.pair_q = key[first], self.q[self.use][self.paired][first]
         self.pair_n = np.bincount(self.of_pair, trained, len(self.pair)).astype("<u4")
 
+    def single_parts(self, twice: np.ndarray) -> np.ndarray:
+        """The part of each context's test that its training occurrences make up whose pair is seen once."""
+        alone = np.ones(len(self.use), bool)
+        alone[self.paired] = ~twice[self.of_pair]
+        trained = np.repeat(~np.frombuffer(self.row["held"], bool), np.diff(self.first))[self.live[self.use]]
+        return np.bincount(self.of_context, -self.q[self.use] * (alone & trained), len(self.context))
+
 
 def _dealt(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     """An order of the keys by bucket, and (bucket, from, to) of each one in use."""
@@ -236,152 +265,218 @@ def _batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-STATE = "page long, ids binary, held binary, first binary, words binary, tokens binary, counts binary, q binary, gram binary, alive binary, live long"
+STATE = "page long, ids binary, held binary, first binary, words binary, counts binary, tokens binary, base binary, known binary, done binary, gram binary, live binary, q binary, n_live long"
+FIXED = ("page", "ids", "held", "first", "words", "counts", "tokens", "base", "known")
 SENT = "bucket int, page long, key binary, context binary, n binary, q binary"
-ANSWER = "bucket int, page long, context binary, n binary, total binary, rest binary"
+#: Rows of kind BIT, COUNT and KEPT answer pages; rows of kind SUM and ASK go to buckets of contexts.
+BIT, COUNT, KEPT, SUM, ASK = range(5)
+ANSWER = "kind int, bucket int, page long, key binary, n binary, total binary, rest binary"
 
 
-def started(paged: DataFrame, counted: DataFrame, buckets: int, below: float) -> DataFrame:
-    """Pages with the training counts of their words and every token's ln p at the root."""
+def started(paged: DataFrame, counted: DataFrame, buckets: int, below: float, least: float, parts: int) -> DataFrame:
+    """Pages with the training counts of their words; words seen less than twice share two places."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = []
         answers = dict(zip(right.column("bucket").to_pylist(), right.column("counts").to_pylist()))
         for row in left.to_pylist():
-            words, tokens = np.frombuffer(row["words"], np.uint64), np.frombuffer(row["tokens"], np.uint32)
-            count = _answered(words, buckets, answers, "<u8")
-            q, gram = np.log((count + 0.5) / below)[tokens], np.minimum(count, MOST).astype("<u4")[tokens]
-            rows.append((row["page"], row["ids"], row["held"], row["first"], row["words"], row["tokens"], count.tobytes(), q.astype("<f8").tobytes(), gram.tobytes(), np.ones(len(tokens), bool).tobytes(), len(tokens)))
+            words, first = np.frombuffer(row["words"], np.uint64), np.frombuffer(row["first"], np.uint32).astype(np.int64)
+            tokens, count = _unpacked(row["tokens"], len(words)), _answered(words, buckets, answers, "<u8")
+            per = lambda x: np.add.reduceat(x, first[:-1])  # noqa: E731  every text has its end
+            base, known = per(np.log((count + 0.5) / below)[tokens]), per((count > 0)[tokens].astype(np.int64)).astype("<u4")
+            gram = np.packbits((count >= least)[tokens])
+            common_words = (count >= LEAST_NEXT) | (words == END)
+            short = np.concatenate([words[common_words], [ONCE, NEVER]]).astype(np.uint64)
+            of = np.where(common_words, np.cumsum(common_words) - 1, len(short) - 1 - (count > 0))
+            counts = np.concatenate([count[common_words], [1, 0]]).astype("<u8")
+            n = len(tokens)
+            rows.append((row["page"], row["ids"], row["held"], row["first"], short.tobytes(), counts.tobytes(), _packed(of[tokens], len(short)), base.astype("<f8").tobytes(), known.tobytes(), np.zeros(len(base)).tobytes(), gram.tobytes(), None, None, n))
         return pa.Table.from_batches([_batch(rows, STATE)])
 
     answers = counted.where("page is not null").select("page", "bucket", "counts")
     found = paged.select("page", "ids", "held", "first", "words", "tokens").groupBy("page").cogroup(answers.groupBy("page")).applyInArrow(run, STATE)
-    return common.cut(found, "state")
+    return common.cut_by(found, "page", parts, "state")
 
 
-def deeper(state: DataFrame, depth: int, buckets: int, least: float, divergence: float, prior: float) -> DataFrame:
+def deeper(state: DataFrame, depth: int, buckets: int, below: float, least: float, divergence: float, prior: float, represented: bool, parts: int) -> DataFrame:
     """The pages with the contexts of one more depth."""
 
-    def pairs(turn: int):
-        """The pairs of the buckets whose turn it is."""
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for row in batch.to_pylist():
-                    p = Page(row, depth, least)
-                    order, parts = _dealt(p.pair, buckets)
-                    columns = [x[order] for x in (p.pair, p.pair_context, p.pair_n, p.pair_q)]
-                    yield _batch([(b, row["page"], *[x[i:j].tobytes() for x in columns]) for b, i, j in parts if b % TURNS == turn], SENT)
-
-        return run
+    def hints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                p = Page(batch.slice(i, 1).to_pylist()[0], depth, below, least)
+                order, cuts = _dealt(p.pair, buckets)
+                slot, n = (p.pair[order] >> np.uint64(32)).astype("<u4"), np.minimum(p.pair_n[order], 2).astype("u1")
+                yield _batch([(b, p.row["page"], slot[i:j].tobytes(), None, n[i:j].tobytes(), None) for b, i, j in cuts], SENT)
+
+    def hinted(table: pa.Table) -> pa.Table:
+        sent = [np.frombuffer(x, "<u4") for x in table.column("key").to_pylist()]
+        n = np.concatenate([np.frombuffer(x, "u1") for x in table.column("n").to_pylist()])
+        _, which = np.unique(np.concatenate(sent), return_inverse=True)
+        twice = (np.bincount(which, n) >= LEAST_NEXT)[which]
+        bucket, ends = table.column("bucket")[0].as_py(), np.cumsum([0, *map(len, sent)]).tolist()
+        return pa.Table.from_batches([_batch([(BIT, bucket, p, None, np.packbits(twice[i:j]).tobytes(), None, None) for p, i, j in zip(table.column("page").to_pylist(), ends, ends[1:])], ANSWER)])
+
+    def twice_of(p: Page, bits: dict[int, bytes]) -> np.ndarray:
+        order, cuts = _dealt(p.pair, buckets)
+        twice = np.zeros(len(p.pair), bool)
+        for b, i, j in cuts:
+            twice[order[i:j]] = np.unpackbits(np.frombuffer(bits[b], np.uint8), count=j - i).astype(bool)
+        return twice
+
+    def asked(left: pa.Table, right: pa.Table) -> pa.Table:
+        """Pairs that may have been seen twice, and contexts; these travel along to be dealt next."""
+        bits, rows = dict(zip(right.column("bucket").to_pylist(), right.column("n").to_pylist())), []
+        for row in left.to_pylist():
+            p = Page(row, depth, below, least)
+            if not len(p.use):
+                continue
+            twice = twice_of(p, bits)
+            own = np.flatnonzero(twice)
+            order, cuts = _dealt(p.pair[own], buckets)
+            columns = [x[own][order] for x in (p.pair, p.pair_context, p.pair_n, p.pair_q)]
+            rows += [(b, row["page"], *[x[i:j].tobytes() for x in columns]) for b, i, j in cuts]
+            single = p.single_parts(twice)
+            order, cuts = _dealt(p.context, buckets)
+            rows += [(b, row["page"], None, p.context[order[i:j]].tobytes(), p.context_n[order[i:j]].tobytes(), single[order[i:j]].tobytes()) for b, i, j in cuts]
+        return pa.Table.from_batches([_batch(rows, SENT)])
 
     def added(table: pa.Table) -> pa.Table:
-        bucket, page = table.column("bucket")[0].as_py(), table.column("page").to_pylist()
-        read = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in table.column(c).to_pylist()])
-        key, at, which = np.unique(read("key", np.uint64), return_index=True, return_inverse=True)
-        n = np.bincount(which, read("n", "<u4"), len(key))
-        back = np.minimum(n, MOST).astype("<u4")[which]
-        ends = np.cumsum([0, *(len(x) // 8 for x in table.column("key").to_pylist())]).tolist()
-        rows = [(bucket, p, None, back[i:j].tobytes(), None, None) for p, i, j in zip(page, ends, ends[1:])]
-        trained = np.flatnonzero(n)
-        context, of = np.unique(read("context", np.uint64)[at[trained]], return_inverse=True)
-        m, q = n[trained], read("q", "<f8")[at[trained]]
-        sums = [np.bincount(of, x, len(context)) for x in (m, m * (np.log(m) - q), m * (m >= LEAST_NEXT), np.exp(q) * (m >= LEAST_NEXT))]
-        order, parts = _dealt(context, buckets)
-        rows += [(b, None, context[order[i:j]].tobytes(), None, np.concatenate([x[order[i:j]] for x in sums]).tobytes(), None) for b, i, j in parts]
-        return pa.Table.from_batches([_batch(rows, ANSWER)])
-
-    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                p = Page(row, depth, least)
-                order, parts = _dealt(p.context, buckets)
-                yield _batch([(b, row["page"], p.context[order[i:j]].tobytes(), None, None, None) for b, i, j in parts], ANSWER)
+        rows, out = table.to_pylist(), []
+        out += [(ASK, r["bucket"], r["page"], r["context"], r["n"], r["q"], None) for r in rows if r["key"] is None]
+        rows = [r for r in rows if r["key"] is not None]
+        if rows:
+            read = lambda c, kind: np.concatenate([np.frombuffer(r[c], kind) for r in rows])
+            key, at, which = np.unique(read("key", np.uint64), return_index=True, return_inverse=True)
+            n = np.bincount(which, read("n", "<u4"), len(key))
+            back = np.minimum(n, MOST).astype("<u4")[which]
+            ends = np.cumsum([0, *(len(r["key"]) // 8 for r in rows)]).tolist()
+            out += [(COUNT, r["bucket"], r["page"], None, back[i:j].tobytes(), None, None) for r, i, j in zip(rows, ends, ends[1:])]
+            trained = np.flatnonzero(n)
+            context, of = np.unique(read("context", np.uint64)[at[trained]], return_inverse=True)
+            m, q = n[trained], read("q", "<f8")[at[trained]]
+            tested = (m >= LEAST_NEXT) | (not represented)
+            sums = [np.bincount(of, x, len(context)) for x in (m * (np.log(m) - q) * tested, m * (m >= LEAST_NEXT), np.exp(q) * (m >= LEAST_NEXT))]
+            order, cuts = _dealt(context, buckets)
+            out += [(SUM, b, None, context[order[i:j]].tobytes(), None, np.concatenate([x[order[i:j]] for x in sums]).tobytes(), None) for b, i, j in cuts]
+        return pa.Table.from_batches([_batch(out, ANSWER)])
 
     def judged(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        told = [r for r in rows if r["page"] is None]
-        key = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(r["context"], np.uint64) for r in told]])
-        parts = np.concatenate([np.zeros((4, 0)), *[np.frombuffer(r["total"], "<f8").reshape(4, -1) for r in told]], axis=1)
-        order = np.lexsort((parts[1], parts[0], key))  # sums do not depend on the order of arrival
-        key, of = np.unique(key[order], return_inverse=True)
-        total, gain, kept, under = (np.bincount(of, x[order], len(key)) for x in parts)
+        told, asks = [r for r in rows if r["kind"] == SUM], [r for r in rows if r["kind"] == ASK]
+        if not told:  # no pair of these contexts was seen twice
+            return pa.Table.from_batches([_batch([], ANSWER)])
+        key = np.concatenate([np.frombuffer(r["key"], np.uint64) for r in told])
+        sums = np.concatenate([np.frombuffer(r["total"], "<f8").reshape(3, -1) for r in told], axis=1)
+        key_a = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(r["key"], np.uint64) for r in asks]])
+        occurs = np.concatenate([np.zeros(0), *[np.frombuffer(r["n"], "<u4") for r in asks]])
+        single = np.concatenate([np.zeros(0), *[np.frombuffer(r["total"], "<f8") for r in asks]])
+        key, of = np.unique(key, return_inverse=True)
+        gain, kept, under = (_exact_sums(of, x, len(key)) for x in sums)
+        at = np.minimum(np.searchsorted(key, key_a), len(key) - 1)
+        own = key[at] == key_a
+        total = np.bincount(at[own], occurs[own], len(key))
+        if represented:
+            others = np.maximum(total - kept, 0)
+            gain += np.where(others > 0, others * np.log(np.maximum(others, 1) / np.maximum(1 - under, 1e-12)), 0.0)
+        else:
+            gain += _exact_sums(at[own], single[own], len(key))
         gain -= total * np.log(np.maximum(total, 1))
         total[(total < least) | (gain < divergence) | (kept == 0)] = 0
         rest = np.log(np.maximum(1 - (kept + prior * under) / (total + prior), 1e-12) / np.maximum(1 - under, 1e-12))
-        key, total, rest = np.append(key, np.uint64(0)), np.append(total, 0.0), np.append(rest, 0.0)
         out = []
-        for r in rows:
-            if r["page"] is not None:
-                asked = np.frombuffer(r["context"], np.uint64)
-                at = np.searchsorted(key[:-1], asked)
-                at[key[at] != asked] = len(key) - 1
-                out.append((r["bucket"], r["page"], None, None, total[at].tobytes(), rest[at].tobytes()))
+        for r in asks:
+            asked = np.frombuffer(r["key"], np.uint64)
+            at = np.minimum(np.searchsorted(key, asked), len(key) - 1)
+            hit = np.flatnonzero((key[at] == asked) & (total[at] > 0))
+            if len(hit):
+                out.append((KEPT, r["bucket"], r["page"], None, hit.astype("<u4").tobytes(), total[at[hit]].tobytes(), rest[at[hit]].tobytes()))
         return pa.Table.from_batches([_batch(out, ANSWER)])
 
     def moved(left: pa.Table, right: pa.Table) -> pa.Table:
         answers = right.to_pylist()
-        n_of = {r["bucket"]: r["n"] for r in answers if r["n"] is not None}
-        total_of = {r["bucket"]: r["total"] for r in answers if r["total"] is not None}
-        rest_of = {r["bucket"]: r["rest"] for r in answers if r["rest"] is not None}
+        of_kind = lambda kind: {r["bucket"]: r for r in answers if r["kind"] == kind}
+        bits, counts, kept = of_kind(BIT), of_kind(COUNT), of_kind(KEPT)
         rows = []
         for row in left.to_pylist():
-            p = Page(row, depth, least)
-            n = _answered(p.pair, buckets, n_of, "<u4")[p.of_pair]
-            total, rest = (_answered(p.context, buckets, x, "<f8")[p.of_context] for x in (total_of, rest_of))
-            q = p.q[p.use]
-            own = np.where(n >= LEAST_NEXT, np.log((n + prior * np.exp(q)) / (total + prior)), rest + q)
-            p.q[p.use] = np.where(total > 0, own, q)
-            p.gram[p.use] = np.minimum(n, MOST)
-            p.alive[:] = False
-            p.alive[p.use] = total > 0
-            rows.append((*[row[c] for c in ("page", "ids", "held", "first", "words", "tokens", "counts")], p.q.tobytes(), p.gram.tobytes(), p.alive.tobytes(), int(p.alive.sum())))
+            p = Page(row, depth, below, least)
+            q, gram, doc = p.q.copy(), p.gram.copy(), np.repeat(np.arange(len(p.first) - 1), np.diff(p.first))
+            alive = np.zeros(len(p.live), bool)
+            if len(p.use):
+                twice = np.flatnonzero(twice_of(p, {b: r["n"] for b, r in bits.items()}))
+                pair_n = np.minimum(p.pair_n, 1)  # a pair that was not counted occurs once at most
+                pair_n[twice] = _answered(p.pair[twice], buckets, {b: r["n"] for b, r in counts.items()}, "<u4")
+                n = np.zeros(len(p.use))
+                n[p.paired] = pair_n[p.of_pair]
+                total, rest = np.zeros(len(p.context)), np.zeros(len(p.context))
+                order, cuts = _dealt(p.context, buckets)
+                for b, i, j in cuts:
+                    if b in kept:
+                        at = order[i:j][np.frombuffer(kept[b]["n"], "<u4")]
+                        total[at], rest[at] = np.frombuffer(kept[b]["total"], "<f8"), np.frombuffer(kept[b]["rest"], "<f8")
+                total, rest = total[p.of_context], rest[p.of_context]
+                below_q = q[p.use]
+                own = np.where(n >= LEAST_NEXT, np.log((n + prior * np.exp(below_q)) / (total + prior)), rest + below_q)
+                q[p.use] = np.where(total > 0, own, below_q)
+                gram[p.live[p.use]] = n >= least
+                alive[p.use] = total > 0
+            done = np.frombuffer(row["done"], "<f8") + np.bincount(doc[p.live[~alive]], q[~alive], len(p.first) - 1)
+            rows.append((*[row[c] for c in FIXED], done.tobytes(), np.packbits(gram).tobytes(), p.live[alive].astype("<u4").tobytes(), q[alive].tobytes(), int(alive.sum())))
         return pa.Table.from_batches([_batch(rows, STATE)])
 
-    turns = []
-    for turn in range(min(TURNS, buckets)):
-        turns.append(common.cut(state.mapInArrow(pairs(turn), SENT).groupBy("bucket").applyInArrow(added, ANSWER), "pairs"))
-        state.sparkSession._jvm.System.gc()  # the shuffle of one turn goes before the next
-    counted = reduce(DataFrame.unionByName, turns)
-    asked = counted.where("page is null").unionByName(state.mapInArrow(contexts, ANSWER))
-    told = counted.where("page is not null").unionByName(asked.groupBy("bucket").applyInArrow(judged, ANSWER))
-    made = common.cut(state.groupBy("page").cogroup(told.groupBy("page")).applyInArrow(moved, STATE), "state")
-    common.discard(counted)
+    by_page = state.groupBy("page")
+    bits = common.cut(state.where("n_live > 0").mapInArrow(hints, SENT).groupBy("bucket").applyInArrow(hinted, ANSWER), "hints")
+    sent = state.where("n_live > 0").groupBy("page").cogroup(bits.groupBy("page")).applyInArrow(asked, SENT)
+    counted = common.cut(sent.groupBy("bucket").applyInArrow(added, ANSWER), "counts")
+    kept = counted.where(F.col("kind").isin(SUM, ASK)).groupBy("bucket").applyInArrow(judged, ANSWER)
+    told = bits.unionByName(counted.where(F.col("kind") == COUNT)).unionByName(kept)
+    made = common.cut_by(by_page.cogroup(told.groupBy("page")).applyInArrow(moved, STATE), "page", parts, "state")
+    common.discard(bits, counted)
     return made
 
 
+def _exact_sums(of: np.ndarray, x: np.ndarray, n: int) -> np.ndarray:
+    """Sums by group that do not depend on the order of arrival."""
+    order = np.lexsort((x, of))
+    return np.bincount(of[order], x[order], n)
+
+
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def suffix_tree_scores(docs: DataFrame, held: str = "held_out", least_context: float = 30.0, divergence: float = 30.0, prior: float = 8.0, depth: int | None = None, bucket_bytes: int = 16 << 20) -> DataFrame:
+def suffix_tree_scores(docs: DataFrame, held: str = "held_out", least_context: float = 30.0, divergence: float = 30.0, prior: float = 8.0, depth: int | None = None, represented: bool = False, bucket_bytes: int = 16 << 20) -> DataFrame:
     """Score every document; those with a true ``held`` column take no part in learning.  ``depth`` may end the tree early."""
-    paged = common.cut(pages(docs, held), "pages")
+    # About 32 MB of text to a part, which stays dealt by page.
+    parts = max(1, math.ceil((docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / (32 << 20)))
+    paged = common.cut_by(pages(docs, held).repartition(parts, "page"), "page", parts, "pages")
     size = paged.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     buckets = max(1, math.ceil(size / bucket_bytes))
     counted = common.cut(word_counts(paged, buckets), "counts")
     totals = counted.where("page is null").agg(F.sum("n_tokens"), F.sum("n_words")).first()
     n_all, v_all = int(totals[0] or 0), int(totals[1] or 0)
     below = n_all + 0.5 * (v_all + 1)
-    state = started(paged, counted, buckets, below)
+    # A context that says something new has a next symbol seen twice.
+    least = max(float(LEAST_NEXT), least_context)
+    state = started(paged, counted, buckets, below, least, parts)
     common.discard(paged, counted)
-    least = max(1.0, least_context)
     deep = 0
     while depth is None or deep < depth:
-        live = state.agg(F.sum("live")).first()[0] or 0
+        live = state.agg(F.sum("n_live")).first()[0] or 0
         if not live or not n_all:
             break
         deep += 1
-        last, state = state, deeper(state, deep, max(1, math.ceil(live * PAIR_BYTES / bucket_bytes)), least, divergence, prior)
+        last, state = state, deeper(state, deep, max(1, math.ceil(live * PAIR_BYTES / bucket_bytes)), below, least, divergence, prior, represented, parts)
         common.discard(last)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = common.arrow_schema(SCORES)
         for batch in batches:
             for row in batch.to_pylist():
-                p = Page(row, 0, least)
-                per = lambda x: np.add.reduceat(x, p.first[:-1])  # noqa: E731  every text has its end
-                base = np.log((p.count + 0.5) / below)[p.tokens]
-                columns = [p.ids, p.fold, np.diff(p.first), per((p.count > 0)[p.tokens].astype(np.int64)), np.full(len(p.ids), n_all), per(base) / math.log(10), per(p.q) / math.log(10)]
+                p = Page(row, 0, below, least)
+                doc = np.repeat(np.arange(len(p.first) - 1), np.diff(p.first))
+                score = np.frombuffer(row["done"], "<f8") + np.bincount(doc[p.live], p.q, len(p.first) - 1)
+                ids, fold, known, base = (np.frombuffer(row[c], kind) for c, kind in (("ids", np.int64), ("held", bool), ("known", "<u4"), ("base", "<f8")))
+                columns = [ids, fold, np.diff(p.first), known, np.full(len(ids), n_all), base / math.log(10), score / math.log(10)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     return common.restored(state.mapInArrow(scored, SCORES))

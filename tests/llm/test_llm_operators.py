@@ -179,7 +179,7 @@ def test_suffix_tree(docs, rows, empty):
     assert suffix_tree.suffix_tree_scores(empty.select("doc_id", "text", F.lit(False).alias("held_out"))).count() == 0
 
 
-def brute_tree(texts, held, least, divergence, prior):
+def brute_tree(texts, held, least, divergence, prior, represented=False):
     """Scores by a tree in dictionaries, of any depth."""
     seqs = {k: [*t.lower().split(), None] for k, t in texts.items()}
     c = Counter(x for k, w in seqs.items() if k not in held for x in w)
@@ -204,7 +204,11 @@ def brute_tree(texts, held, least, divergence, prior):
         new = {}
         for context, n in found.items():
             total = sum(n.values())
-            if total >= least and max(n.values()) > 1 and sum(m * math.log(m / total / p(context[1:], x)) for x, m in n.items()) >= divergence:
+            gain = [m * math.log(m / total / p(context[1:], x)) for x, m in n.items() if m > 1 or not represented]
+            once = total - sum(m for m in n.values() if m > 1)
+            if represented and once:
+                gain.append(once * math.log(once / total / (1 - sum(p(context[1:], x) for x in n if n[x] > 1))))
+            if total >= least and max(n.values()) > 1 and sum(gain) >= divergence:
                 own = [x for x in n if n[x] > 1]
                 under = sum(p(context[1:], x) for x in own)
                 new[context] = (n, total, (1 - (sum(n[x] for x in own) + prior * under) / (total + prior)) / (1 - under))
@@ -215,7 +219,8 @@ def brute_tree(texts, held, least, divergence, prior):
     return deepest, {k: sum(math.log10(p(tuple([None, *w][: i + 1]), x)) for i, x in enumerate(w)) for k, w in seqs.items()}
 
 
-def test_suffix_tree_grows(spark):
+@pytest.mark.parametrize("represented,divergence", [(False, 30.0), (True, 2.0)])
+def test_suffix_tree_grows(spark, represented, divergence):
     """Contexts go as deep and as rare as the counts allow, over many pages and buckets."""
     rng = np.random.default_rng(8)
     texts = {}
@@ -226,10 +231,10 @@ def test_suffix_tree_grows(spark):
         texts[i] = " ".join(words)
     texts |= {200: "", 201: "w0 and then", 202: texts[3]}
     held = {k for k in texts if k % 5 == 1}
-    deepest, want = brute_tree(texts, held, 4, 30.0, 8.0)
+    deepest, want = brute_tree(texts, held, 4, divergence, 8.0, represented)
     assert deepest >= 3
     frame = spark.createDataFrame([(k, t, k in held) for k, t in texts.items()], "doc_id long, text string, held_out boolean").repartition(5)
-    got = {r.doc_id: r.score for r in suffix_tree.suffix_tree_scores(frame, least_context=4, divergence=30.0, bucket_bytes=1 << 14).collect()}
+    got = {r.doc_id: r.score for r in suffix_tree.suffix_tree_scores(frame, least_context=4, divergence=divergence, represented=represented, bucket_bytes=1 << 14).collect()}
     assert got == {k: pytest.approx(x) for k, x in want.items()}
 
 
