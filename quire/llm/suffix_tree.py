@@ -47,8 +47,10 @@ SPREAD = np.uint64(0x9E3779B97F4A7C15)
 LEAST_NEXT = 2
 #: Counts that only bound others stop here.
 MOST = (1 << 32) - 1
+#: Contexts of a higher level (see ``level``) have their pairs in several buckets, twice as many for each level.
+WHOLE = 15
 #: What a pair takes on its way to a bucket.
-PAIR_BYTES = 28
+PAIR_BYTES = 12
 PAGES = "page long, ids binary, held binary, first binary, words binary, tokens binary, sent binary"
 
 
@@ -199,6 +201,11 @@ def context_keys(symbol: np.ndarray, first: np.ndarray, depth: int) -> tuple[np.
     return key, place >= depth - 1
 
 
+def level(n: np.ndarray, least: float) -> np.ndarray:
+    """The number of binary digits of counts, 0 where a count is below ``least``."""
+    return np.where(n >= least, np.frexp(np.asarray(n, np.float64))[1], 0).astype("u1")
+
+
 class Page:
     """A page at one depth: what it asks for, in an order that does not depend on when it asks."""
 
@@ -207,21 +214,22 @@ class Page:
         self.first = np.frombuffer(row["first"], np.uint32).astype(np.int64)
         self.words, self.count = np.frombuffer(row["words"], np.uint64), np.frombuffer(row["counts"], "<u8")
         tokens, n = _unpacked(row["tokens"], len(self.words)), int(self.first[-1])
-        self.gram = np.unpackbits(np.frombuffer(row["gram"], np.uint8), count=n).astype(bool)
+        self.gram = np.frombuffer(row["gram"], "u1")
         if row["live"] is None:
             self.live, self.q = np.arange(n), np.log((self.count + 0.5) / below)[tokens]
         else:
-            self.live, self.q = np.frombuffer(row["live"], "<u4").astype(np.int64), np.frombuffer(row["q"], "<f8")
+            self.live = np.flatnonzero(np.unpackbits(np.frombuffer(row["live"], np.uint8), count=n))
+            self.q = np.frombuffer(row["q"], "<f4").astype(np.float64)
         if not depth or not len(self.live):
-            self.use, self.context, self.pair = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+            self.use, self.context, self.pair, self.home = np.zeros(0, np.int64), *[np.zeros(0, np.uint64) for _ in range(3)]
             return
         symbol = self.words[tokens]
         key, enough = context_keys(symbol, self.first, depth)
         # The words before a token are a context and its next symbol of the depth above, or fewer words: at least as frequent.
-        seen = np.append(False, self.gram[:-1])
-        seen[self.first[:-1]] = self.count[self.words == END][0] >= least
-        self.gram = self.gram & (seen | ~enough)
-        self.use = np.flatnonzero((enough & seen)[self.live])  # of the live ones
+        seen = np.append(np.uint8(0), self.gram[:-1])
+        seen[self.first[:-1]] = level(self.count[self.words == END], least)[0]
+        self.gram = np.where((seen > 0) | ~enough, self.gram, np.uint8(0))
+        self.use = np.flatnonzero((enough & (seen > 0))[self.live])  # of the live ones
         at = self.live[self.use]
         key, symbol = key[at], symbol[at]
         trained = np.repeat(~np.frombuffer(row["held"], bool), np.diff(self.first))[at]
@@ -229,10 +237,13 @@ class Page:
         self.context_n = np.bincount(self.of_context, trained, len(self.context)).astype("<u4")
         # A next symbol seen less than twice is in no pair seen twice.
         self.paired = np.flatnonzero((symbol != ONCE) & (symbol != NEVER))
-        key, symbol, trained = key[self.paired], symbol[self.paired], trained[self.paired]
+        key, symbol, trained, seen = key[self.paired], symbol[self.paired], trained[self.paired], seen[at][self.paired]
         self.pair, first, self.of_pair = np.unique(common.mix(key * SPREAD + symbol), return_index=True, return_inverse=True)
         self.pair_context, self.pair_q = key[first], self.q[self.use][self.paired][first]
         self.pair_n = np.bincount(self.of_pair, trained, len(self.pair)).astype("<u4")
+        # The pairs of a context have one home, those of a frequent one several.
+        share = np.uint64(1) << np.maximum(seen[first].astype(np.int64) - WHOLE, 0).astype(np.uint64)
+        self.home = common.mix(self.pair_context + (self.pair >> np.uint64(8)) % share)
 
     def single_parts(self, twice: np.ndarray) -> np.ndarray:
         """The part of each context's test that its training occurrences make up whose pair is seen once."""
@@ -265,8 +276,9 @@ def _batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-STATE = "page long, ids binary, held binary, first binary, words binary, counts binary, tokens binary, base binary, known binary, done binary, gram binary, live binary, q binary, n_live long"
-FIXED = ("page", "ids", "held", "first", "words", "counts", "tokens", "base", "known")
+#: What stays, and what a depth changes; both are dealt by page, so that they join without a shuffle.
+FIXED = "page long, ids binary, held binary, first binary, words binary, counts binary, tokens binary, base binary, known binary"
+STATE = "page long, done binary, gram binary, live binary, q binary, n_live long"
 SENT = "bucket int, page long, key binary, context binary, n binary, q binary"
 #: Rows of kind BIT, COUNT and KEPT answer pages; rows of kind SUM and ASK go to buckets of contexts.
 BIT, COUNT, KEPT, SUM, ASK = range(5)
@@ -284,28 +296,28 @@ def started(paged: DataFrame, counted: DataFrame, buckets: int, below: float, le
             tokens, count = _unpacked(row["tokens"], len(words)), _answered(words, buckets, answers, "<u8")
             per = lambda x: np.add.reduceat(x, first[:-1])  # noqa: E731  every text has its end
             base, known = per(np.log((count + 0.5) / below)[tokens]), per((count > 0)[tokens].astype(np.int64)).astype("<u4")
-            gram = np.packbits((count >= least)[tokens])
+            gram = level(count, least)[tokens]
             common_words = (count >= LEAST_NEXT) | (words == END)
             short = np.concatenate([words[common_words], [ONCE, NEVER]]).astype(np.uint64)
             of = np.where(common_words, np.cumsum(common_words) - 1, len(short) - 1 - (count > 0))
             counts = np.concatenate([count[common_words], [1, 0]]).astype("<u8")
             n = len(tokens)
             rows.append((row["page"], row["ids"], row["held"], row["first"], short.tobytes(), counts.tobytes(), _packed(of[tokens], len(short)), base.astype("<f8").tobytes(), known.tobytes(), np.zeros(len(base)).tobytes(), gram.tobytes(), None, None, n))
-        return pa.Table.from_batches([_batch(rows, STATE)])
+        return pa.Table.from_batches([_batch(rows, FIXED + STATE[len("page long") :])])
 
     answers = counted.where("page is not null").select("page", "bucket", "counts")
-    found = paged.select("page", "ids", "held", "first", "words", "tokens").groupBy("page").cogroup(answers.groupBy("page")).applyInArrow(run, STATE)
+    found = paged.select("page", "ids", "held", "first", "words", "tokens").groupBy("page").cogroup(answers.groupBy("page")).applyInArrow(run, FIXED + STATE[len("page long") :])
     return common.cut_by(found, "page", parts, "state")
 
 
-def deeper(state: DataFrame, depth: int, buckets: int, below: float, least: float, divergence: float, prior: float, represented: bool, parts: int) -> DataFrame:
+def deeper(fixed: DataFrame, state: DataFrame, depth: int, buckets: int, below: float, least: float, divergence: float, prior: float, represented: bool, parts: int) -> DataFrame:
     """The pages with the contexts of one more depth."""
 
     def hints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 p = Page(batch.slice(i, 1).to_pylist()[0], depth, below, least)
-                order, cuts = _dealt(p.pair, buckets)
+                order, cuts = _dealt(p.home, buckets)
                 slot, n = (p.pair[order] >> np.uint64(32)).astype("<u4"), np.minimum(p.pair_n[order], 2).astype("u1")
                 yield _batch([(b, p.row["page"], slot[i:j].tobytes(), None, n[i:j].tobytes(), None) for b, i, j in cuts], SENT)
 
@@ -318,7 +330,7 @@ def deeper(state: DataFrame, depth: int, buckets: int, below: float, least: floa
         return pa.Table.from_batches([_batch([(BIT, bucket, p, None, np.packbits(twice[i:j]).tobytes(), None, None) for p, i, j in zip(table.column("page").to_pylist(), ends, ends[1:])], ANSWER)])
 
     def twice_of(p: Page, bits: dict[int, bytes]) -> np.ndarray:
-        order, cuts = _dealt(p.pair, buckets)
+        order, cuts = _dealt(p.home, buckets)
         twice = np.zeros(len(p.pair), bool)
         for b, i, j in cuts:
             twice[order[i:j]] = np.unpackbits(np.frombuffer(bits[b], np.uint8), count=j - i).astype(bool)
@@ -333,12 +345,12 @@ def deeper(state: DataFrame, depth: int, buckets: int, below: float, least: floa
                 continue
             twice = twice_of(p, bits)
             own = np.flatnonzero(twice)
-            order, cuts = _dealt(p.pair[own], buckets)
-            columns = [x[own][order] for x in (p.pair, p.pair_context, p.pair_n, p.pair_q)]
+            order, cuts = _dealt(p.home[own], buckets)
+            columns = [x[own][order] for x in (p.pair, p.pair_context, p.pair_n, p.pair_q.astype("<f4"))]
             rows += [(b, row["page"], *[x[i:j].tobytes() for x in columns]) for b, i, j in cuts]
-            single = p.single_parts(twice)
+            single = None if represented else p.single_parts(twice)
             order, cuts = _dealt(p.context, buckets)
-            rows += [(b, row["page"], None, p.context[order[i:j]].tobytes(), p.context_n[order[i:j]].tobytes(), single[order[i:j]].tobytes()) for b, i, j in cuts]
+            rows += [(b, row["page"], None, p.context[order[i:j]].tobytes(), p.context_n[order[i:j]].tobytes(), None if represented else single[order[i:j]].tobytes()) for b, i, j in cuts]
         return pa.Table.from_batches([_batch(rows, SENT)])
 
     def added(table: pa.Table) -> pa.Table:
@@ -354,7 +366,7 @@ def deeper(state: DataFrame, depth: int, buckets: int, below: float, least: floa
             out += [(COUNT, r["bucket"], r["page"], None, back[i:j].tobytes(), None, None) for r, i, j in zip(rows, ends, ends[1:])]
             trained = np.flatnonzero(n)
             context, of = np.unique(read("context", np.uint64)[at[trained]], return_inverse=True)
-            m, q = n[trained], read("q", "<f8")[at[trained]]
+            m, q = n[trained], read("q", "<f4").astype(np.float64)[at[trained]]
             tested = (m >= LEAST_NEXT) | (not represented)
             sums = [np.bincount(of, x, len(context)) for x in (m * (np.log(m) - q) * tested, m * (m >= LEAST_NEXT), np.exp(q) * (m >= LEAST_NEXT))]
             order, cuts = _dealt(context, buckets)
@@ -370,7 +382,7 @@ def deeper(state: DataFrame, depth: int, buckets: int, below: float, least: floa
         sums = np.concatenate([np.frombuffer(r["total"], "<f8").reshape(3, -1) for r in told], axis=1)
         key_a = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(r["key"], np.uint64) for r in asks]])
         occurs = np.concatenate([np.zeros(0), *[np.frombuffer(r["n"], "<u4") for r in asks]])
-        single = np.concatenate([np.zeros(0), *[np.frombuffer(r["total"], "<f8") for r in asks]])
+        single = np.concatenate([np.zeros(0), *[np.frombuffer(r["total"], "<f8") for r in asks if not represented]])
         key, of = np.unique(key, return_inverse=True)
         gain, kept, under = (_exact_sums(of, x, len(key)) for x in sums)
         at = np.minimum(np.searchsorted(key, key_a), len(key) - 1)
@@ -405,7 +417,7 @@ def deeper(state: DataFrame, depth: int, buckets: int, below: float, least: floa
             if len(p.use):
                 twice = np.flatnonzero(twice_of(p, {b: r["n"] for b, r in bits.items()}))
                 pair_n = np.minimum(p.pair_n, 1)  # a pair that was not counted occurs once at most
-                pair_n[twice] = _answered(p.pair[twice], buckets, {b: r["n"] for b, r in counts.items()}, "<u4")
+                pair_n[twice] = _answered(p.home[twice], buckets, {b: r["n"] for b, r in counts.items()}, "<u4")
                 n = np.zeros(len(p.use))
                 n[p.paired] = pair_n[p.of_pair]
                 total, rest = np.zeros(len(p.context)), np.zeros(len(p.context))
@@ -418,16 +430,20 @@ def deeper(state: DataFrame, depth: int, buckets: int, below: float, least: floa
                 below_q = q[p.use]
                 own = np.where(n >= LEAST_NEXT, np.log((n + prior * np.exp(below_q)) / (total + prior)), rest + below_q)
                 q[p.use] = np.where(total > 0, own, below_q)
-                gram[p.live[p.use]] = n >= least
+                gram[p.live[p.use]] = level(n, least)
                 alive[p.use] = total > 0
             done = np.frombuffer(row["done"], "<f8") + np.bincount(doc[p.live[~alive]], q[~alive], len(p.first) - 1)
-            rows.append((*[row[c] for c in FIXED], done.tobytes(), np.packbits(gram).tobytes(), p.live[alive].astype("<u4").tobytes(), q[alive].tobytes(), int(alive.sum())))
+            live = np.zeros(len(gram), bool)
+            live[p.live[alive]] = True
+            rows.append((row["page"], done.tobytes(), gram.tobytes(), np.packbits(live).tobytes(), q[alive].astype("<f4").tobytes(), int(alive.sum())))
         return pa.Table.from_batches([_batch(rows, STATE)])
 
+    state = fixed.join(state, "page")
     by_page = state.groupBy("page")
     bits = common.cut(state.where("n_live > 0").mapInArrow(hints, SENT).groupBy("bucket").applyInArrow(hinted, ANSWER), "hints")
     sent = state.where("n_live > 0").groupBy("page").cogroup(bits.groupBy("page")).applyInArrow(asked, SENT)
     counted = common.cut(sent.groupBy("bucket").applyInArrow(added, ANSWER), "counts")
+    state.sparkSession._jvm.System.gc()  # lets go of the shuffle of the pairs
     kept = counted.where(F.col("kind").isin(SUM, ASK)).groupBy("bucket").applyInArrow(judged, ANSWER)
     told = bits.unionByName(counted.where(F.col("kind") == COUNT)).unionByName(kept)
     made = common.cut_by(by_page.cogroup(told.groupBy("page")).applyInArrow(moved, STATE), "page", parts, "state")
@@ -449,6 +465,7 @@ def suffix_tree_scores(docs: DataFrame, held: str = "held_out", least_context: f
     # About 32 MB of text to a part, which stays dealt by page.
     parts = max(1, math.ceil((docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / (32 << 20)))
     paged = common.cut_by(pages(docs, held).repartition(parts, "page"), "page", parts, "pages")
+    docs.sparkSession._jvm.System.gc()  # lets go of the shuffle of the pages
     size = paged.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     buckets = max(1, math.ceil(size / bucket_bytes))
     counted = common.cut(word_counts(paged, buckets), "counts")
@@ -457,16 +474,18 @@ def suffix_tree_scores(docs: DataFrame, held: str = "held_out", least_context: f
     below = n_all + 0.5 * (v_all + 1)
     # A context that says something new has a next symbol seen twice.
     least = max(float(LEAST_NEXT), least_context)
-    state = started(paged, counted, buckets, below, least, parts)
+    full = started(paged, counted, buckets, below, least, parts)
     common.discard(paged, counted)
+    fixed, state = full.select(*[x.split(" ")[0] for x in FIXED.split(", ")]), full.select(*[x.split(" ")[0] for x in STATE.split(", ")])
     deep = 0
     while depth is None or deep < depth:
         live = state.agg(F.sum("n_live")).first()[0] or 0
         if not live or not n_all:
             break
         deep += 1
-        last, state = state, deeper(state, deep, max(1, math.ceil(live * PAIR_BYTES / bucket_bytes)), below, least, divergence, prior, represented, parts)
-        common.discard(last)
+        last, state = state, deeper(fixed, state, deep, max(1, math.ceil(live * PAIR_BYTES / bucket_bytes)), below, least, divergence, prior, represented, parts)
+        if deep > 1:
+            common.discard(last)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = common.arrow_schema(SCORES)
@@ -479,4 +498,4 @@ def suffix_tree_scores(docs: DataFrame, held: str = "held_out", least_context: f
                 columns = [ids, fold, np.diff(p.first), known, np.full(len(ids), n_all), base / math.log(10), score / math.log(10)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    return common.restored(state.mapInArrow(scored, SCORES))
+    return common.restored(fixed.join(state, "page").mapInArrow(scored, SCORES))
