@@ -86,22 +86,86 @@ def boxes(data: memoryview, begin: int, end: int) -> Iterator[tuple[bytes, int,
         at += size
 
 
-def tracks(data: bytes) -> list[dict]:
-    """Walk the nested boxes of a container and decode each track's sample tables."""
-    view, found = memoryview(data), []
+#: Boxes nested deeper than this are refused.
+DEEPEST = 32
+
 
-    def walk(begin: int, end: int, track: dict | None) -> None:
+def tracks(data: bytes) -> list[dict]:
+    """Walk the nested boxes of a container and decode each track's sample tables and fragments."""
+    view = memoryview(data)
+    found: list[dict] = []
+    fragments: list[tuple[int, dict]] = []
+    defaults: dict[int, tuple[int, int, int]] = {}
+    todo = [(0, len(data), None, 0)]  # begin, end, where leaves go, depth
+    while todo:
+        begin, end, holder, depth = todo.pop()
+        if depth > DEEPEST:
+            raise ValueError("boxes are nested too deeply")
+        inner = []
         for kind, a, b in boxes(view, begin, end):
             if kind == b"trak":
                 found.append(own := {})
-                walk(a, b, own)
+                inner.append((a, b, own, depth + 1))
+            elif kind == b"traf":
+                fragments.append((begin - 8, own := {b"trun": []}))
+                inner.append((a, b, own, depth + 1))
             elif kind in NESTED:
-                walk(a, b, track)
-            elif track is not None:
-                track[kind] = (a, b)
-
-    walk(0, len(data), None)
-    return [_decoded(view, t) for t in found]
+                inner.append((a, b, None if kind == b"moof" else holder, depth + 1))
+            elif kind == b"trex":
+                track, _, *own = struct.unpack_from(">5I", view, a + 4)
+                defaults[track] = tuple(own)
+            elif kind == b"trun" and holder is not None:
+                holder.setdefault(kind, []).append((a, b))
+            elif holder is not None:
+                holder[kind] = (a, b)
+        todo += reversed(inner)
+    own = [_decoded(view, t) for t in found]
+    by_id = {struct.unpack_from(">I", view, t[b"tkhd"][0] + (20 if view[t[b"tkhd"][0]] == 1 else 12))[0]: d for t, d in zip(found, own) if b"tkhd" in t}
+    for start, traf in fragments:
+        _append_fragment(view, start, traf, by_id, defaults)
+    return own
+
+
+def _append_fragment(view: memoryview, moof: int, traf: dict, by_id: dict[int, dict], defaults: dict[int, tuple[int, int, int]]) -> None:
+    """Add the samples of a track fragment to its track; a fragment that does not say starts at its ``moof``."""
+    at, end = traf[b"tfhd"]
+    flags, number = struct.unpack_from(">II", view, at)
+    flags, at = flags & 0xFFFFFF, at + 8
+    track = by_id[number]
+    base, (duration, size, marks) = moof, defaults.get(number, (0, 0, 0))
+    if flags & 0x1:
+        (base,), at = struct.unpack_from(">Q", view, at), at + 8
+    at += 4 if flags & 0x2 else 0
+    if flags & 0x8:
+        (duration,), at = struct.unpack_from(">I", view, at), at + 4
+    if flags & 0x10:
+        (size,), at = struct.unpack_from(">I", view, at), at + 4
+    if flags & 0x20:
+        (marks,) = struct.unpack_from(">I", view, at)
+    here = base
+    for a, b in traf[b"trun"]:
+        run, n = struct.unpack_from(">II", view, a)
+        run, a = run & 0xFFFFFF, a + 8
+        if run & 0x1:
+            here, a = base + struct.unpack_from(">i", view, a)[0], a + 4
+        first = None
+        if run & 0x4:
+            (first,), a = struct.unpack_from(">I", view, a), a + 4
+        fields = [bit for bit in (0x100, 0x200, 0x400, 0x800) if run & bit]
+        if 4 * n * len(fields) > b - a or (not run & 0x200 and n * max(size, 1) > len(view)):
+            raise ValueError("a fragment has more samples than its box or the container can hold")
+        table = np.frombuffer(view[a : a + 4 * n * len(fields)], ">u4").astype(np.int64).reshape(n, len(fields))
+        column = lambda bit, other: table[:, fields.index(bit)] if bit in fields else np.full(n, other, np.int64)  # noqa: E731, B023
+        sizes, times, flag = column(0x200, size), column(0x100, duration), column(0x400, marks).copy()
+        if first is not None and n and not run & 0x400:
+            flag[0] = first
+        starts = here + np.cumsum(sizes) - sizes
+        keys = track["samples"] + np.flatnonzero(flag & 0x10000 == 0)
+        for name, more in (("starts", starts), ("sizes", sizes), ("times", times), ("keys", keys)):
+            track[name] = np.concatenate([track[name], more])
+        track["samples"] += n
+        track["duration"] = max(track["duration"], int(track["times"].sum()))
+        here += int(sizes.sum())
 
 
 def _table(view: memoryview, at: tuple[int, int] | None, width: int, kind: str = ">u4") -> np.ndarray:
@@ -121,6 +185,8 @@ def _decoded(view: memoryview, t: dict) -> dict:
     handler = bytes(view[t[b"hdlr"][0] + 8 : t[b"hdlr"][0] + 12]).decode("latin-1")
     if b"stsz" in t:
         same, n = struct.unpack_from(">II", view, t[b"stsz"][0] + 4)
+        if n * max(same, 1) > len(view) or (not same and 12 + 4 * n > t[b"stsz"][1] - t[b"stsz"][0]):
+            raise ValueError("there are more samples than the container can hold")
         sizes = np.full(n, same, np.int64) if same else np.frombuffer(view[t[b"stsz"][0] + 12 : t[b"stsz"][0] + 12 + 4 * n], ">u4").astype(np.int64)
     else:
         field, n = struct.unpack_from(">II", view, t[b"stz2"][0] + 4)
@@ -137,6 +203,8 @@ def _decoded(view: memoryview, t: dict) -> dict:
     first_of = np.cumsum(per) - per
     starts = np.repeat(chunks - np.append(before, 0)[np.minimum(first_of, n)], per) + before
     stts = _table(view, t.get(b"stts"), 2)
+    if stts[:, 0].sum() != n:
+        raise ValueError("durations and sample sizes disagree")
     times = np.repeat(stts[:, 1], stts[:, 0])
     keys = _table(view, t[b"stss"], 1)[:, 0] - 1 if b"stss" in t else np.arange(n)
     if len(keys) and (keys.min() < 0 or keys.max() >= n):
@@ -162,7 +230,7 @@ def probe(media: DataFrame, id_col: str, bytes_col: str) -> DataFrame:
             for i, t in enumerate(tracks(data)):
                 ranges = [{"start": int(t["starts"][k]), "length": int(t["sizes"][k])} for k in t["keys"]]
                 yield key, i, t["handler"], t["codec"], t["timescale"], t["duration"], t["duration"] / t["timescale"] if t["timescale"] else None, t["samples"], len(ranges), ranges, None
-        except (ValueError, KeyError, struct.error, IndexError) as e:
+        except (ValueError, KeyError, struct.error, IndexError, OverflowError, TypeError) as e:
             yield key, -1, None, None, None, None, None, None, None, None, f"{type(e).__name__}: {e}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

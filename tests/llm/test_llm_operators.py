@@ -39,6 +39,79 @@ def test_media_probe(spark):
     assert got[3].error
 
 
+def test_media_probe_odd_containers(spark):
+    """Deep nesting, impossible counts and truncation give rows with an error; fragments give their samples."""
+    import struct
+
+    deep = b""
+    for _ in range(3000):
+        deep = media.box(b"moov", deep)
+    good = media.mux(bytes(576 * 4))
+    at = good.index(b"stsz") + 8
+    many = good[: at + 4] + struct.pack(">I", 4_000_000_000) + good[at + 8 :]
+    at = good.index(b"trak") - 4
+    (size,) = struct.unpack_from(">I", good, at)
+    # The same track without samples of its own, then two fragments of five samples.
+    track = media.mux(bytes(576))
+    empty = [media.full(b"stts", bytes(4)), media.full(b"stss", bytes(4)), media.full(b"stsc", bytes(4)), media.full(b"stsz", bytes(8)), media.full(b"stco", bytes(4))]
+    stsd_at = track.index(b"stsd") - 4
+    stsd = track[stsd_at : stsd_at + struct.unpack_from(">I", track, stsd_at)[0]]
+    part = lambda name: track[track.index(name) - 4 :][: struct.unpack_from(">I", track, track.index(name) - 4)[0]]
+    minf = media.box(b"minf", part(b"vmhd"), part(b"dinf"), media.box(b"stbl", stsd, *empty))
+    mdhd = media.full(b"mdhd", struct.pack(">IIIIHH", 0, 0, 10, 0, 0x55C4, 0))
+    trak = media.box(b"trak", part(b"tkhd"), media.box(b"mdia", mdhd, part(b"hdlr"), minf))
+    trex = media.full(b"trex", struct.pack(">5I", 1, 1, 2, 7, 0x10000))
+    head = part(b"ftyp") + media.box(b"moov", part(b"mvhd"), trak, media.box(b"mvex", trex))
+
+    def fragment(sizes=None):
+        fields = struct.pack(f">{len(sizes)}I", *sizes) if sizes else b""
+        make = lambda offset: media.box(b"moof", media.full(b"mfhd", struct.pack(">I", 1)), media.box(b"traf", media.full(b"tfhd", struct.pack(">I", 1), flags=0x20000), media.full(b"trun", struct.pack(">IiI", 5, offset, 0x2000000), fields, flags=0x5 | (0x200 if sizes else 0))))
+        return make(len(make(0)) + 8)
+
+    one, two = fragment([3, 4, 5, 6, 7]), fragment()
+    whole = head + one + media.box(b"mdat", bytes(25)) + two + media.box(b"mdat", bytes(35))
+    rows = [(1, bytearray(deep)), (2, bytearray(many)), (3, bytearray(good[:-1])), (4, bytearray(good[: at + size])), (5, bytearray(whole))]
+    got = {r.doc_id: r for r in media.probe(spark.createDataFrame(rows, "doc_id long, media binary"), "doc_id", "media").collect()}
+    assert all(got[i].track == -1 and got[i].error for i in (1, 2, 3, 4))
+    r, first, second = got[5], len(head) + len(one) + 8, len(head) + len(one) + 33 + len(two) + 8
+    assert (r.error, r.n_samples, r.seconds, r.codec) == (None, 10, 2.0, "raw ")
+    assert [(k.start, k.length) for k in r.keyframes] == [(first, 3), (second, 7)]
+
+
+def test_language_brute_force(spark, docs, rows):
+    """Profiles and distances recomputed without tables of numbers; numerals are no letters, long texts are read whole."""
+    import unicodedata
+
+    odd = [(500, "½ ²"), (501, "½a²b"), (502, "ǅ" * 3 + " das ist"), (503, " ".join(f"wort{i}" for i in range(30000))), (504, "一二三 漢字")]
+    texts = {r[0]: r[1] or "" for r in rows if r[0] is not None} | dict(odd)
+    lang = {r[0]: r[2] for r in rows if r[0] is not None}
+    frame = spark.createDataFrame([(k, t, lang.get(k)) for k, t in texts.items()], "doc_id long, text string, lang string")
+
+    def counted(text):
+        letters = "".join(c if unicodedata.category(c)[0] == "L" else " " for c in text.lower())
+        return Counter(f"_{w}_"[i : i + n] for w in letters.split() for n in (1, 2, 3) for i in range(len(w) + 3 - n) if f"_{w}_"[i : i + n] != "_")
+
+    total = defaultdict(Counter)
+    for k, t in texts.items():
+        if lang.get(k) and zlib.crc32(str(k).encode()) % 3 != 1:
+            total[lang[k]] += counted(t)
+    profile = {x: {g: i for i, (g, _) in enumerate(sorted(c.items(), key=lambda z: (-z[1], z[0].encode()))[:400])} for x, c in total.items()}
+    got = {r.doc_id: r for r in language.language_id(frame).collect()}
+    for k, t in texts.items():
+        own = counted(t)
+        if not own:
+            assert (got[k].lang_pred, got[k].score) == ("und", 0.0)
+            continue
+        rank = {g: sum(m > n for m in own.values()) for g, n in own.items()} if len(own) < 3000 else None
+        if rank is None:
+            falling = sorted(own.values(), reverse=True)
+            rank = {g: falling.index(n) for g, n in own.items()}
+        used = {g: i for g, i in rank.items() if i < 400}
+        apart = {x: sum(min(abs(p[g] - i), 400) if g in p else 400 for g, i in used.items()) for x, p in profile.items()}
+        best = min(sorted(apart), key=apart.get)
+        assert got[k].lang_pred == best and got[k].score == pytest.approx(1 - apart[best] / (400 * len(used)))
+
+
 def brute_topk(vectors, k=5):
     out = set()
     for q, x in vectors:
