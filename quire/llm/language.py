@@ -8,7 +8,8 @@ if it is missing.  The nearest profile wins; ties go to the language that sorts
 Profiles are fitted on a sample of labelled documents bounded by ``sample`` for each language, chosen
 by a hash of doc_id; all documents are predicted from their whole texts.  Null texts, empty texts and
 texts without letters get ``und`` with score 0, and so does every text if nothing can be learned.
-Repeated rows are predicted alike; ties of n-gram counts share a rank in a document.
+Repeated rows are predicted alike; ties of n-gram counts share a rank in a document.  Very long texts are
+read whole; an empty table gives an empty result; only the columns named are read.
 """
 
 from __future__ import annotations
@@ -19,13 +20,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm import common
 
+#: Letters and some numerals (such as one half), which ``words`` leaves out.
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
+#: More languages than this are refused: one profile of each goes to every executor.
+MOST_LANGUAGES = 4096
+
+
+def words(text: str | None) -> Counter:
+    """The runs of letters (general category L) of a text in lower case, and how often each occurs."""
+    found = Counter(WORD.findall((text or "").lower()))
+    for word in [w for w in found if not w.isalpha()]:
+        n = found.pop(word)
+        for part in "".join(c if c.isalpha() else " " for c in word).split():
+            found[part] += n
+    return found
 
 
 def grams(word: str, longest: int) -> list[str]:
@@ -40,9 +54,11 @@ def remainder(id_col: str, divisor: int) -> Column:
 
 def profiles(labelled: DataFrame, size: int = 400, longest: int = 3, sample: int = 4000) -> dict[str, dict[str, int]]:
     """For each language the ranks of its ``size`` most frequent n-grams, learned from (doc_id, text, lang)."""
-    counts = {r["lang"]: r["count"] for r in labelled.where("lang is not null").groupBy("lang").count().collect()}  # one row for each language
+    counts = {r["lang"]: r["count"] for r in labelled.where("lang is not null").groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
     if not counts:
         return {}
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     spread = 1 << 30
     limit = F.create_map(*[F.lit(y) for lang, n in counts.items() for y in (lang, int(spread * min(1.0, sample / n)))])
     chosen = labelled.where("lang is not null").where(F.pmod(F.xxhash64("doc_id"), F.lit(spread)) < limit[F.col("lang")])
@@ -50,11 +66,11 @@ def profiles(labelled: DataFrame, size: int = 400, longest: int = 3, sample: int
     out_schema = common.arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: dict[str, Counter] = {}
+        of_lang: dict[str, Counter] = {}
         for batch in batches:
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words.setdefault(lang, Counter()).update(WORD.findall((text or "").lower()))
-        for lang, found in words.items():
+                of_lang.setdefault(lang, Counter()).update(words(text))
+        for lang, found in of_lang.items():
             total: Counter = Counter()
             for word, n in found.items():
                 for g in grams(word, longest):
@@ -63,11 +79,10 @@ def profiles(labelled: DataFrame, size: int = 400, longest: int = 3, sample: int
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(total)), pa.array(list(total)), pa.array(list(total.values()))], schema=out_schema)
 
     counted = common.cut(chosen.select("text", "lang").mapInArrow(run, ddl).groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
-    found = {}
-    for lang in sorted(counts):
-        best = counted.where(F.col("lang") == lang).orderBy(F.desc("n"), "gram").limit(size).collect()
-        if best:
-            found[lang] = {r["gram"]: i for i, r in enumerate(best)}
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
+    found: dict[str, dict[str, int]] = {}
+    for r in counted.withColumn("place", place).where(F.col("place") <= size).collect():  # languages x size rows at most
+        found.setdefault(r["lang"], {})[r["gram"]] = r["place"] - 1
     return found
 
 
@@ -100,13 +115,13 @@ class _Ranker:
         return found
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = Counter(WORD.findall((text or "").lower()))
-        if not words or not self.langs:
+        found = words(text)
+        if not found or not self.langs:
             return UNKNOWN, 0.0
         if len(self.words) > self.most:
             self.clear()
-        each = [self.of(w) for w in words]
-        weight = np.repeat(np.fromiter(words.values(), np.int64, len(words)), np.fromiter(map(len, each), np.int64, len(each)))
+        each = [self.of(w) for w in found]
+        weight = np.repeat(np.fromiter(found.values(), np.int64, len(found)), np.fromiter(map(len, each), np.int64, len(each)))
         counts = np.bincount(np.concatenate(each), weight)
         at = np.flatnonzero(counts)
         counts = counts[at]
