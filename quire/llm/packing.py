@@ -206,5 +206,6 @@ def pack(cut_pieces: DataFrame, window: int = 2048, width: int = 16, deep: int =
         sequence, offset = pack_group(pdf["length"].to_numpy(), repeats, window, width)
         return pdf.drop(columns="part").assign(sequence_id=sequence + pdf["part"].astype("int64") * (1 << 32), offset=offset)
 
-    part = F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups)).cast("int")
+    # The ids' checksum keeps pieces of one id (or of none) apart.
+    part = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens"), F.lit(groups)).cast("int")
     return cut_pieces.withColumn("part", part).groupBy("part").applyInPandas(run, PIECE + ", sequence_id long, offset long")
