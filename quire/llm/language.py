@@ -28,6 +28,8 @@ from quire.llm import common
 #: Letters and some numerals (such as one half), which ``words`` leaves out.
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
+#: Texts of about so many bytes are ranked at once.
+CHUNK = 1 << 19
 #: More languages than this are refused: one profile of each goes to every executor.
 MOST_LANGUAGES = 4096
 
@@ -86,52 +88,75 @@ def profiles(labelled: DataFrame, size: int = 400, longest: int = 3, sample: int
     return found
 
 
+#: A character takes so many bits of an n-gram's key.
+BITS = 21
+
+
+def _keys(codes: np.ndarray, owner: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Exact keys of all n-grams of padded words, and the text of each; ``owner`` has the text of every character, -1 for no letter."""
+    letter = owner >= 0
+    begins = letter & np.append(True, ~letter[:-1] | (owner[1:] != owner[:-1]))
+    word = np.cumsum(begins)[letter] - 1
+    n_words = int(word[-1]) + 1 if len(word) else 0
+    at = np.arange(len(word)) + 2 * word + 1
+    padded = np.full(len(word) + 2 * n_words, ord("_"), np.int64)
+    padded[at] = codes[letter]
+    starts = np.flatnonzero(begins[letter])
+    lengths = np.diff(np.append(starts, len(word))) + 2
+    of_word = np.repeat(np.arange(n_words), lengths)
+    text = np.repeat(owner[letter][starts], lengths)
+    keys, texts = [padded[at]], [text[at]]
+    key = padded
+    for n in range(2, longest + 1):
+        m = len(padded) - n + 1
+        if m <= 0:
+            break
+        key = key[:m] + (padded[n - 1 :] << BITS * (n - 1))
+        inside = of_word[:m] == of_word[n - 1 :]
+        keys.append(key[inside])
+        texts.append(text[:m][inside])
+    return np.concatenate(keys), np.concatenate(texts)
+
+
 class _Ranker:
-    """n-gram numbers of words, and the rank of every n-gram in every profile."""
-
-    def __init__(self, ranks: dict[str, dict[str, int]], size: int, longest: int, most: int = 300_000):
-        self.langs, self.size, self.longest, self.most = sorted(ranks), size, longest, most
-        self.ranks = ranks
-        self.clear()
-
-    def clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.words: dict[str, np.ndarray] = {}
-        self.table = np.zeros((1 << 12, len(self.langs)), np.int32)
-
-    def of(self, word: str) -> np.ndarray:
-        found = self.words.get(word)
-        if found is None:
-            numbers = []
-            for g in grams(word, self.longest):
-                n = self.number.get(g)
-                if n is None:
-                    n = self.number[g] = len(self.number)
-                    if n >= len(self.table):
-                        self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-                    self.table[n] = [self.ranks[lang].get(g, -1) for lang in self.langs]
-                numbers.append(n)
-            found = self.words[word] = np.array(numbers, np.int64)
+    """The rank of every profiled n-gram in every profile, and predictions for many texts at once."""
+
+    def __init__(self, ranks: dict[str, dict[str, int]], size: int, longest: int):
+        self.langs, self.size, self.longest = sorted(ranks), size, longest
+        key = lambda g: sum(ord(c) << BITS * i for i, c in enumerate(g))
+        every = sorted({(key(g), g) for lang in ranks for g in ranks[lang]})
+        self.known = np.array([k for k, _ in every], np.int64)
+        # The last row is that of n-grams in no profile.
+        self.table = np.array([[ranks[lang].get(g, -1) for lang in self.langs] for _, g in every] + [[-1] * len(self.langs)], np.int64)
+        self.letter = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        found = [(UNKNOWN, 0.0)] * len(texts)
+        if not self.langs:
+            return found
+        lowered = [(t or "").lower() for t in texts]
+        codes = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        owner = np.repeat(np.arange(len(texts)), [len(t) for t in lowered])
+        keys, of = _keys(codes, np.where(self.letter[codes], owner, -1), self.longest)
+        order = np.argsort(of, kind="stable")
+        keys, ends = keys[order], np.searchsorted(of[order], np.arange(len(texts) + 1))
+        for i, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
+            if a == b:
+                continue
+            distinct, counts = np.unique(keys[a:b], return_counts=True)
+            falling = -np.sort(-counts)
+            rank = np.searchsorted(-falling, -counts, side="left")  # how many are strictly more frequent
+            use = rank < self.size
+            own, rank = distinct[use], rank[use]
+            at = np.minimum(np.searchsorted(self.known, own), max(0, len(self.known) - 1))
+            there = self.table[np.where(self.known[at] == own, at, len(self.known))]
+            apart = np.where(there < 0, self.size, np.minimum(np.abs(there - rank[:, None]), self.size)).sum(0)
+            best = int(np.argmin(apart))
+            found[i] = self.langs[best], float(1 - apart[best] / (self.size * len(own)))
         return found
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        found = words(text)
-        if not found or not self.langs:
-            return UNKNOWN, 0.0
-        if len(self.words) > self.most:
-            self.clear()
-        each = [self.of(w) for w in found]
-        weight = np.repeat(np.fromiter(found.values(), np.int64, len(found)), np.fromiter(map(len, each), np.int64, len(each)))
-        counts = np.bincount(np.concatenate(each), weight)
-        at = np.flatnonzero(counts)
-        counts = counts[at]
-        falling = -np.sort(-counts)
-        rank = np.searchsorted(-falling, -counts, side="left")  # how many are strictly more frequent
-        use = rank < self.size
-        there = self.table[at[use]]
-        apart = np.where(there < 0, self.size, np.minimum(np.abs(there - rank[use, None]), self.size)).sum(0)
-        best = int(np.argmin(apart))
-        return self.langs[best], float(1 - apart[best] / (self.size * use.sum()))
+        return self.predict_all([text])[0]
 
 
 def identify(docs: DataFrame, ranks: dict[str, dict[str, int]], size: int = 400, longest: int = 3, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -146,9 +171,10 @@ def identify(docs: DataFrame, ranks: dict[str, dict[str, int]], size: int = 400,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranker = _Ranker(ranks, size, longest)
         for batch in batches:
-            for i in range(0, batch.num_rows, 1000):
-                part = batch.slice(i, 1000)
-                found = [ranker.predict(t.as_py()) for t in part.column(n)]
+            _, offsets = common.text_bytes(batch.column(n))
+            for i, j in common.slices(offsets, CHUNK):
+                part = batch.slice(i, j - i)
+                found = ranker.predict_all(part.column(n).to_pylist())
                 columns = [part.column(c).cast(f.type) for c, f in zip(range(n), out_schema)]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], schema=out_schema)
 
@@ -157,6 +183,8 @@ def identify(docs: DataFrame, ranks: dict[str, dict[str, int]], size: int = 400,
 
 def language_id(docs: DataFrame, size: int = 400, longest: int = 3, sample: int = 4000, folds: int = 3, held: int = 1, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """doc_id, held_out, lang_pred and score; documents of fold ``held`` take no part in learning."""
+    if not 1 <= longest <= 3:
+        raise ValueError("n-grams have one to three letters")
     fold = remainder("doc_id", folds)
     ranks = profiles(common.named(docs.where(fold != held), "doc_id", "text", "lang"), size, longest, sample)
     found = identify(docs, ranks, size, longest, keep)
