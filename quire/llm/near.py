@@ -128,7 +128,7 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
                     own = ids[side][i : i + step]
                     todo = [x for x in dict.fromkeys(own) if x not in kept]
                     at = {x: n for n, x in reversed(list(enumerate(own)))}
-                    if len(kept) > 2000:
+                    if sum(map(len, kept.values())) > 1 << 21:
                         kept.clear()
                         todo = list(dict.fromkeys(own))
                     data, offsets = common.text_bytes(batch.column(2 + side).slice(i, step).take(pa.array([at[x] for x in todo], pa.int64())))

@@ -38,7 +38,7 @@ from quire.llm.common import mix, ranges, runs
 from quire.llm.shingles import prefix_hash, span_hash
 
 TRIGGER = 8
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 
 
 def least_of(h: np.ndarray, reach: int) -> np.ndarray:
