@@ -37,6 +37,8 @@ from quire.llm.shingles import shingle_sets
 
 #: The probability with which a bound on the values that a similar pair shares may fail.
 MISSED = 1e-8
+#: Texts of about so many bytes are hashed at once.
+CHUNK = 1 << 19
 
 
 def least_shared(k: int, percent: int) -> int:
@@ -86,7 +88,7 @@ class Bounds:
         return self.alike(na, nb) & (ia <= sa - shared) & (ib <= sb - shared)
 
 
-def sketches(docs: DataFrame, width: int, k: int, chunk: int = 1 << 20) -> DataFrame:
+def sketches(docs: DataFrame, width: int, k: int, chunk: int | None = None) -> DataFrame:
     """doc_id, n_shingles, set_key (of the whole set) and the k smallest hashes."""
     ddl = "doc_id long, n_shingles long, set_key string, sketch array<long>"
     out_schema = common.arrow_schema(ddl)
@@ -94,7 +96,7 @@ def sketches(docs: DataFrame, width: int, k: int, chunk: int = 1 << 20) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = common.text_bytes(batch.column(1))
-            for i, j in common.slices(offsets, chunk):
+            for i, j in common.slices(offsets, chunk or CHUNK):
                 sets = list(shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], width))
                 head = [s[:k] for s in sets]
                 ends = np.concatenate([[0], np.cumsum([len(h) for h in head])]).astype(np.int32)
@@ -121,7 +123,7 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
         for batch in batches:
             ids = [batch.column(c).to_pylist() for c in (0, 1)]
             found: list[tuple[int, int]] = []
-            step = 256
+            step = 64
             for i in range(0, batch.num_rows, step):
                 sets = []
                 for side in (0, 1):
@@ -132,8 +134,8 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
                         kept.clear()
                         todo = list(dict.fromkeys(own))
                     data, offsets = common.text_bytes(batch.column(2 + side).slice(i, step).take(pa.array([at[x] for x in todo], pa.int64())))
-                    for x, s in zip(todo, shingle_sets(data, offsets, width)):
-                        kept[x] = s
+                    for p, q in common.slices(offsets, CHUNK):
+                        kept.update(zip(todo[p:q], shingle_sets(data[offsets[p] : offsets[q]], offsets[p : q + 1] - offsets[p], width)))
                     sets.append([kept[x] for x in own])
                 for a, b, x, y in zip(ids[0][i : i + step], ids[1][i : i + step], *sets):
                     same = len(np.intersect1d(x, y, assume_unique=True))
