@@ -38,7 +38,7 @@ from quire.llm.common import mix, ranges, runs
 from quire.llm.shingles import prefix_hash, span_hash
 
 TRIGGER = 8
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 
 def least_of(h: np.ndarray, reach: int) -> np.ndarray:
@@ -181,7 +181,7 @@ def _chosen(parse: Parse, marks: list[np.ndarray]) -> np.ndarray:
     return np.isin((doc << 33) + mark, wanted)
 
 
-def repeated_spans(docs: DataFrame, length: int = 100, with_text: bool = False, bucket_bytes: int = 16 << 20) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = 100, with_text: bool = False, bucket_bytes: int = 8 << 20) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every document.
 
     Removed is each byte covered by a string of ``length`` bytes that also starts earlier (smaller
