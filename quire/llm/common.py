@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,18 @@ def cut(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 512) -> Iterator[None]:
+    """Rows go to Python in batches of ``rows`` at most, so that buffers for long texts stay small."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows if int(before) <= 0 else min(rows, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete what ``cut`` or ``cut_by`` wrote for frames that nothing reads any more, and let go of the shuffles before it."""
     for df in frames:

@@ -174,7 +174,8 @@ class _Search:
         near = near.where(F.when(whole, 100 * same >= percent * (F.col("na") + F.col("nb") - same)).otherwise(drawn))
         near = common.cut(near.select("a", "b", whole.alias("whole")), "near")
         found = near.where("whole").select("a", "b").unionByName(verified(near.where("not whole").select("a", "b"), self.texts, self.width, percent))
-        found = common.cut(found, "links")
+        with common.small_batches(found.sparkSession):
+            found = common.cut(found, "links")
         common.discard(pairs, near)
         if self.links is None:
             self.links = found
@@ -234,7 +235,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
         raise ValueError("percent must lie in 1..100, k be positive and wide no less than k")
     docs, ids = common.prepared(docs)
     bounds, wider = Bounds(k, percent), Bounds(wide, percent)
-    full = common.cut(sketches(docs, width, k), "sketches")
+    with common.small_batches(docs.sparkSession):
+        full = common.cut(sketches(docs, width, k), "sketches")
     classes = common.cut(classes_of(full), "classes")
     sketched = common.cut(full.drop("sketch"), "sets")
     common.discard(full)
@@ -247,7 +249,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     long = search.labelled(lists.join(sizes.where(F.col("c") > short).select("v"), "v", "left_semi"))
     open_lists = long.groupBy("v").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("v")
     hot = long.join(open_lists, "v", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
-    again = common.cut(sketches(docs.join(hot, "doc_id", "left_semi"), width, wide).select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sketch"), "wide")
+    with common.small_batches(docs.sparkSession):
+        again = common.cut(sketches(docs.join(hot, "doc_id", "left_semi"), width, wide).select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sketch"), "wide")
     lists = common.cut(rare_lists(again, wider), "lists")
     if lists.limit(1).count():
         search.stars(lists, wider, leaders)
