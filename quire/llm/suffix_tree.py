@@ -29,7 +29,8 @@ an empty table gives an empty result.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,8 @@ LEAST_NEXT = 2
 MOST = (1 << 32) - 1
 #: Contexts of a higher level (see ``level``) have their pairs in several buckets, twice as many for each level.
 WHOLE = 15
+#: The buckets of a depth get their pairs in so many turns.
+TURNS = 1
 #: What a pair takes on its way to a bucket.
 PAIR_BYTES = 12
 PAGES = "page long, ids binary, held binary, first binary, words binary, tokens binary, sent binary"
@@ -189,18 +192,26 @@ class Tree:
         self.keys, self.logs = keys[order], logs[order]
 
 
-def context_keys(symbol: np.ndarray, first: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """A key of the ``depth`` symbols before every token, and whether it has as many (the start counts as one)."""
+def context_keys(symbol: np.ndarray, first: np.ndarray, depth: int, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A key of the ``depth`` symbols before every token, or those at ``at``, and whether it has as many (the start counts as one)."""
     place = np.arange(len(symbol)) - np.repeat(first[:-1], np.diff(first))
-    key = np.full(len(symbol), depth, np.uint64)
+    at = np.arange(len(symbol)) if at is None else at
+    place = place[at]
+    key = np.full(len(at), depth, np.uint64)
     for back in range(1, depth + 1):
-        before = np.zeros(len(symbol), np.uint64)
-        before[back:] = symbol[:-back]
-        before[place < back] = END
-        key = common.mix(key * SPREAD + before)
+        key = common.mix(key * SPREAD + np.where(place < back, END, symbol[np.maximum(at - back, 0)]))
     return key, place >= depth - 1
 
 
+def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct value of ``x`` stands, in their order, and which one every element is."""
+    order = np.argsort(x)
+    new = common.runs(x[order])
+    which = np.empty(len(x), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return order[new], which
+
+
 def level(n: np.ndarray, least: float) -> np.ndarray:
     """The number of binary digits of counts, 0 where a count is below ``least``."""
     return np.where(n >= least, np.frexp(np.asarray(n, np.float64))[1], 0).astype("u1")
@@ -223,34 +234,37 @@ class Page:
         if not depth or not len(self.live):
             self.use, self.context, self.pair, self.home = np.zeros(0, np.int64), *[np.zeros(0, np.uint64) for _ in range(3)]
             return
-        symbol = self.words[tokens]
-        key, enough = context_keys(symbol, self.first, depth)
+        place = np.arange(n) - np.repeat(self.first[:-1], np.diff(self.first))
+        enough = place >= depth - 1
         # The words before a token are a context and its next symbol of the depth above, or fewer words: at least as frequent.
         seen = np.append(np.uint8(0), self.gram[:-1])
         seen[self.first[:-1]] = level(self.count[self.words == END], least)[0]
         self.gram = np.where((seen > 0) | ~enough, self.gram, np.uint8(0))
         self.use = np.flatnonzero((enough & (seen > 0))[self.live])  # of the live ones
         at = self.live[self.use]
-        key, symbol = key[at], symbol[at]
-        trained = np.repeat(~np.frombuffer(row["held"], bool), np.diff(self.first))[at]
-        self.context, self.of_context = np.unique(key, return_inverse=True)
-        self.context_n = np.bincount(self.of_context, trained, len(self.context)).astype("<u4")
+        key, _ = context_keys(self.words[tokens], self.first, depth, at)
+        self.trained = np.repeat(~np.frombuffer(row["held"], bool), np.diff(self.first))[at]
+        found, self.of_context = distinct(key)
+        self.context = key[found]
+        self.context_n = np.bincount(self.of_context, self.trained, len(self.context)).astype("<u4")
         # A next symbol seen less than twice is in no pair seen twice.
+        symbol = self.words[tokens[at]]
         self.paired = np.flatnonzero((symbol != ONCE) & (symbol != NEVER))
-        key, symbol, trained, seen = key[self.paired], symbol[self.paired], trained[self.paired], seen[at][self.paired]
-        self.pair, first, self.of_pair = np.unique(common.mix(key * SPREAD + symbol), return_index=True, return_inverse=True)
-        self.pair_context, self.pair_q = key[first], self.q[self.use][self.paired][first]
-        self.pair_n = np.bincount(self.of_pair, trained, len(self.pair)).astype("<u4")
+        # Pairs in the order of their contexts, so that equal ones stand together and take little on the way.
+        first, self.of_pair = distinct(self.of_context[self.paired] * len(self.words) + tokens[at][self.paired])
+        of = self.paired[first]
+        self.pair_context, self.pair_q, seen = key[of], self.q[self.use][of], seen[at][of]
+        self.pair = common.mix(self.pair_context * SPREAD + symbol[of])
+        self.pair_n = np.bincount(self.of_pair, self.trained[self.paired], len(self.pair)).astype("<u4")
         # The pairs of a context have one home, those of a frequent one several.
-        share = np.uint64(1) << np.maximum(seen[first].astype(np.int64) - WHOLE, 0).astype(np.uint64)
+        share = np.uint64(1) << np.maximum(seen.astype(np.int64) - WHOLE, 0).astype(np.uint64)
         self.home = common.mix(self.pair_context + (self.pair >> np.uint64(8)) % share)
 
     def single_parts(self, twice: np.ndarray) -> np.ndarray:
         """The part of each context's test that its training occurrences make up whose pair is seen once."""
         alone = np.ones(len(self.use), bool)
         alone[self.paired] = ~twice[self.of_pair]
-        trained = np.repeat(~np.frombuffer(self.row["held"], bool), np.diff(self.first))[self.live[self.use]]
-        return np.bincount(self.of_context, -self.q[self.use] * (alone & trained), len(self.context))
+        return np.bincount(self.of_context, -self.q[self.use] * (alone & self.trained), len(self.context))
 
 
 def _dealt(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
@@ -311,7 +325,8 @@ def started(paged: DataFrame, counted: DataFrame, buckets: int, below: float, le
 
 
 def deeper(fixed: DataFrame, state: DataFrame, depth: int, buckets: int, below: float, least: float, divergence: float, prior: float, represented: bool, parts: int) -> DataFrame:
-    """The pages with the contexts of one more depth."""
+    """The pages with the contexts of one more depth.  Pairs go out in turns, so that only a part of them is on its way at once."""
+    turns = min(TURNS, buckets)
 
     def hints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -336,22 +351,27 @@ def deeper(fixed: DataFrame, state: DataFrame, depth: int, buckets: int, below:
             twice[order[i:j]] = np.unpackbits(np.frombuffer(bits[b], np.uint8), count=j - i).astype(bool)
         return twice
 
-    def asked(left: pa.Table, right: pa.Table) -> pa.Table:
-        """Pairs that may have been seen twice, and contexts; these travel along to be dealt next."""
-        bits, rows = dict(zip(right.column("bucket").to_pylist(), right.column("n").to_pylist())), []
-        for row in left.to_pylist():
-            p = Page(row, depth, below, least)
-            if not len(p.use):
-                continue
-            twice = twice_of(p, bits)
-            own = np.flatnonzero(twice)
-            order, cuts = _dealt(p.home[own], buckets)
-            columns = [x[own][order] for x in (p.pair, p.pair_context, p.pair_n, p.pair_q.astype("<f4"))]
-            rows += [(b, row["page"], *[x[i:j].tobytes() for x in columns]) for b, i, j in cuts]
-            single = None if represented else p.single_parts(twice)
-            order, cuts = _dealt(p.context, buckets)
-            rows += [(b, row["page"], None, p.context[order[i:j]].tobytes(), p.context_n[order[i:j]].tobytes(), None if represented else single[order[i:j]].tobytes()) for b, i, j in cuts]
-        return pa.Table.from_batches([_batch(rows, SENT)])
+    def asked(turn: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+        """Pairs that may have been seen twice, and contexts, of a turn's buckets; contexts travel along to be dealt next."""
+
+        def run(left: pa.Table, right: pa.Table) -> pa.Table:
+            bits, rows = dict(zip(right.column("bucket").to_pylist(), right.column("n").to_pylist())), []
+            for row in left.to_pylist():
+                p = Page(row, depth, below, least)
+                if not len(p.use):
+                    continue
+                twice = twice_of(p, bits)
+                own = np.flatnonzero(twice)
+                own = own[p.home[own] % np.uint64(buckets) % np.uint64(turns) == turn]
+                order, cuts = _dealt(p.home[own], buckets)
+                columns = [x[own][order] for x in (p.pair, p.pair_context, p.pair_n, p.pair_q.astype("<f4"))]
+                rows += [(b, row["page"], *[x[i:j].tobytes() for x in columns]) for b, i, j in cuts]
+                single = None if represented else p.single_parts(twice)
+                order, cuts = _dealt(p.context, buckets)
+                rows += [(b, row["page"], None, p.context[order[i:j]].tobytes(), p.context_n[order[i:j]].tobytes(), None if represented else single[order[i:j]].tobytes()) for b, i, j in cuts if b % turns == turn]
+            return pa.Table.from_batches([_batch(rows, SENT)])
+
+        return run
 
     def added(table: pa.Table) -> pa.Table:
         rows, out = table.to_pylist(), []
@@ -441,13 +461,17 @@ def deeper(fixed: DataFrame, state: DataFrame, depth: int, buckets: int, below:
     state = fixed.join(state, "page")
     by_page = state.groupBy("page")
     bits = common.cut(state.where("n_live > 0").mapInArrow(hints, SENT).groupBy("bucket").applyInArrow(hinted, ANSWER), "hints")
-    sent = state.where("n_live > 0").groupBy("page").cogroup(bits.groupBy("page")).applyInArrow(asked, SENT)
-    counted = common.cut(sent.groupBy("bucket").applyInArrow(added, ANSWER), "counts")
-    state.sparkSession._jvm.System.gc()  # lets go of the shuffle of the pairs
+    state.sparkSession._jvm.System.gc()  # lets go of the shuffle of the hints
+    answered = []
+    for turn in range(turns):
+        sent = state.where("n_live > 0").groupBy("page").cogroup(bits.groupBy("page")).applyInArrow(asked(turn), SENT)
+        answered.append(common.cut(sent.groupBy("bucket").applyInArrow(added, ANSWER), "counts"))
+        state.sparkSession._jvm.System.gc()  # lets go of the shuffle of the turn's pairs
+    counted = reduce(DataFrame.unionByName, answered)
     kept = counted.where(F.col("kind").isin(SUM, ASK)).groupBy("bucket").applyInArrow(judged, ANSWER)
     told = bits.unionByName(counted.where(F.col("kind") == COUNT)).unionByName(kept)
     made = common.cut_by(by_page.cogroup(told.groupBy("page")).applyInArrow(moved, STATE), "page", parts, "state")
-    common.discard(bits, counted)
+    common.discard(bits, *answered)
     return made
 
 
