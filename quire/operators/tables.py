@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,19 +41,26 @@ def content_share(rows: Column) -> tuple[Column, Column]:
     return F.size(F.flatten(F.transform(rows, filled))), F.size(F.flatten(rows))
 
 
+def _bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def render(rows: Column, options: Options = Options()) -> Column:
     """A pipe table, or null if the table is too small or too empty to keep."""
-    cleaned = clean_rows(rows)
-    if options.header_collapse:
-        cleaned = collapse_headers(cleaned)
-    kept, total = content_share(cleaned)
-    width = column_count(cleaned)
     line = lambda cells: F.concat(F.lit("| "), F.array_join(cells, " | "), F.lit(" |"))
-    padded = F.transform(cleaned, lambda r: F.concat(r, F.array_repeat(F.lit(""), width - F.size(r))))
-    lines = F.transform(padded, line)
-    rule = line(F.array_repeat(F.lit("---"), width))
-    text = F.concat_ws("\n", F.get(lines, F.lit(0)), rule, F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))))
-    return F.when((F.size(rows) >= 2) & (total > 0) & (kept / total >= K.CONTENT_MIN), text)
+
+    def written(cleaned: Column) -> Column:
+        kept, total = content_share(cleaned)
+
+        def lines(width: Column) -> Column:
+            out = F.transform(cleaned, lambda r: line(F.concat(r, F.array_repeat(F.lit(""), width - F.size(r)))))
+            return F.concat_ws("\n", F.slice(out, 1, 1), line(F.array_repeat(F.lit("---"), width)), F.slice(out, F.lit(2), F.greatest(F.size(out) - 1, F.lit(0))))
+
+        return F.when((total > 0) & (kept / total >= K.CONTENT_MIN), _bound(column_count(cleaned), lines))
+
+    cleaned = clean_rows(rows)
+    return F.when(F.size(rows) >= 2, _bound(collapse_headers(cleaned) if options.header_collapse else cleaned, written))
 
 
 def content_columns(rows: Column) -> Column:
@@ -218,10 +227,12 @@ def merge_chains(tables: DataFrame) -> DataFrame:
     tail = F.slice("rows", F.lit(2), F.greatest(F.size("rows") - 1, F.lit(0)))
     marked = marked.withColumn("head", head).withColumn("adds", F.when(repeats, tail).otherwise(F.col("rows")))
     parts = F.sort_array(F.collect_list(F.struct("page", "adds", "rows")))
-    joined = marked.groupBy("book", "chain").agg(parts.alias("parts")).withColumn("md", render(F.flatten(F.col("parts.adds"))))
-    whole = joined.where("size(parts) > 1 and md is not null").select("book", F.col("parts")[0]["page"].alias("page"), F.col("parts.page").alias("pages"), "md")
-    single = joined.where("size(parts) = 1 or md is null").select("book", F.explode("parts").alias("p")).select("book", F.col("p.page").alias("page"), F.array("p.page").alias("pages"), render(F.col("p.rows")).alias("md"))
-    return whole.unionByName(single).where("md is not null")
+    chains = marked.groupBy("book", "chain").agg(parts.alias("parts"))
+    one = lambda page, pages, md: F.struct(page.alias("page"), pages.alias("pages"), md.alias("md"))
+    alone = F.transform("parts", lambda p: one(p["page"], F.array(p["page"]), render(p["rows"])))
+    whole = lambda md: F.when(md.isNull(), alone).otherwise(F.array(one(F.get("parts.page", F.lit(0)), F.col("parts.page"), md)))
+    found = _bound(F.when(F.size("parts") > 1, render(F.flatten(F.col("parts.adds")))), whole)
+    return chains.select("book", F.inline(found)).where("md is not null")
 
 
 def review_reasons(table_text: Column, page_text: Column, stitched: Column, geometric: Column) -> Column:
