@@ -51,7 +51,7 @@ MOST = (1 << 32) - 1
 #: Contexts of a higher level (see ``level``) have their pairs in several buckets, twice as many for each level.
 WHOLE = 15
 #: The buckets of a depth get their pairs in so many turns.
-TURNS = 1
+TURNS = 4
 #: What a pair takes on its way to a bucket.
 PAIR_BYTES = 12
 PAGES = "page long, ids binary, held binary, first binary, words binary, tokens binary, sent binary"
