@@ -468,10 +468,11 @@ def deeper(fixed: DataFrame, state: DataFrame, depth: int, buckets: int, below:
         answered.append(common.cut(sent.groupBy("bucket").applyInArrow(added, ANSWER), "counts"))
         state.sparkSession._jvm.System.gc()  # lets go of the shuffle of the turn's pairs
     counted = reduce(DataFrame.unionByName, answered)
-    kept = counted.where(F.col("kind").isin(SUM, ASK)).groupBy("bucket").applyInArrow(judged, ANSWER)
+    kept = common.cut(counted.where(F.col("kind").isin(SUM, ASK)).groupBy("bucket").applyInArrow(judged, ANSWER), "kept")
+    state.sparkSession._jvm.System.gc()  # lets go of the shuffle of the contexts
     told = bits.unionByName(counted.where(F.col("kind") == COUNT)).unionByName(kept)
     made = common.cut_by(by_page.cogroup(told.groupBy("page")).applyInArrow(moved, STATE), "page", parts, "state")
-    common.discard(bits, *answered)
+    common.discard(bits, kept, *answered)
     return made
 
 
