@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -45,6 +47,14 @@ def small_batches(spark: SparkSession, rows: int = 512) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Have the shuffles that nothing reads any more deleted; what the last job still held goes in a second round."""
+    gc.collect()
+    for _ in range(2):
+        spark._jvm.System.gc()
+        time.sleep(0.4)
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete what ``cut`` or ``cut_by`` wrote for frames that nothing reads any more, and let go of the shuffles before it."""
     for df in frames:

@@ -311,6 +311,40 @@ def test_suffix_tree_grows(spark, represented, divergence):
     assert got == {k: pytest.approx(x) for k, x in want.items()}
 
 
+def test_suffix_tree_sums_of_pages():
+    """What each page adds for its own occurrences makes up the sums over distinct pairs, which go out in nine bytes each."""
+    rng = np.random.default_rng(5)
+    words = np.array([0, 1, 2, 10, 11, 12, 13], np.uint64)
+    texts = [[np.append(rng.integers(3, 7, 400), 0) for _ in range(2)] for _ in range(3)]
+    count = np.bincount(np.concatenate(sum(texts, [])), minlength=7)
+    below = count.sum() + 0.5 * 6
+    rows = []
+    for i, own in enumerate(texts):
+        tokens = np.concatenate(own)
+        first = np.cumsum([0, *map(len, own)]).astype("<u4")
+        rows.append({"page": i, "first": first.tobytes(), "words": words.tobytes(), "counts": count.astype("<u8").tobytes(), "tokens": suffix_tree._packed(tokens, 7), "gram": suffix_tree.level(count, 2)[tokens].tobytes(), "held": bytes(2), "live": None})
+    pages = [suffix_tree.Page(r, 1, below, 2.0) for r in rows]
+    pairs, found = Counter(), defaultdict(lambda: np.zeros(4))
+    for p in pages:
+        assert sum(len(p.pair[i:j].tobytes()) + len(suffix_tree._told(p.pair_n[i:j])) for _, i, j in suffix_tree._dealt(p.pair, 3)) <= 9 * len(p.pair) + 8 * (p.pair_n > 254).sum()
+        pairs.update(dict(zip(p.pair.tolist(), p.pair_n.tolist())))
+    for p in pages:
+        answers = {b: suffix_tree._told(np.array([pairs[x] for x in p.pair[i:j].tolist()])) for b, i, j in suffix_tree._dealt(p.pair, 3)}
+        keys = p.contexts()
+        for key, *sums in zip(keys.tolist(), *p.sums(p.counted(answers, 3), True)):
+            found[key] += sums
+    n = defaultdict(Counter)
+    for own in sum(texts, []):
+        for a, b in zip([0, *own], own):
+            n[a][b] += 1
+    q = np.log((count + 0.5) / below)
+    want = [(sum(c.values()), sum(m for m in c.values() if m > 1), sum(m * (math.log(m) - q[x]) for x, m in c.items() if m > 1), sum(math.exp(q[x]) for x, m in c.items() if m > 1)) for c in n.values()]
+    assert sorted(map(tuple, found.values())) == [pytest.approx(x) for x in sorted(want)]
+    counts = np.array([0, 254, 255, 1 << 33])
+    assert suffix_tree._counts(suffix_tree._told(counts), 4).tolist() == counts.tolist()
+    assert all(suffix_tree._read_whole(suffix_tree._whole(x), len(x)).tolist() == x.tolist() for x in (counts, counts[:3], counts[:0]))
+
+
 def test_tree_is_a_distribution():
     """The next-symbol probabilities of every state sum to one, whatever was kept."""
     rng = np.random.default_rng(1)
