@@ -203,6 +203,7 @@ class _Search:
         x = outside.select("v", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("i").alias("ia"), F.col("comp").alias("ca"))
         y = labelled.select("v", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("i").alias("ib"), F.col("comp").alias("cb"))
         self.test(x.join(y, "v").where((F.col("ca") != F.col("cb")) & bounds.meet(F.col("na"), F.col("ia"), F.col("nb"), F.col("ib"))).select("a", "b"))
+        common.discard(labelled)
 
 
 def classes_of(sketched: DataFrame) -> DataFrame:
@@ -213,15 +214,19 @@ def classes_of(sketched: DataFrame) -> DataFrame:
 
 def rare_lists(classes: DataFrame, bounds: Bounds) -> DataFrame:
     """(v, rep, n, i): for each class that can have a partner, the rarest values that any partner hits and their ranks."""
-    postings = classes.select("rep", "n", F.explode("sketch").alias("v"))
+    postings = classes.select("rep", F.explode("sketch").alias("v"))
     shared = common.cut(postings.groupBy("v").agg(F.count("*").alias("c")).where("c > 1"), "shared")
+    common.let_go(classes.sparkSession)
     # Never broadcast: both sides grow with the corpus.
-    each = postings.join(shared.hint("merge"), "v").groupBy("rep").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("c", "v"))).alias("vs"))  # k values at most
+    each = postings.join(shared.hint("merge"), "v").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("c", "v"))).alias("vs"))  # k values at most
+    each = each.join(classes.select("rep", "n").hint("merge"), "rep")
     # Values that no other class has come first in the order and are not listed.
     alone = F.least(F.col("n"), F.lit(bounds.k)) - F.size("vs")
     need = bounds.for_any(F.col("n"))
     viable = each.where(F.size("vs") >= need).select("rep", "n", alone.alias("alone"), F.posexplode(F.slice("vs", F.lit(1), F.size("vs") - need + 1)).alias("at", "x"))
-    return viable.select(F.col("x.v").alias("v"), "rep", "n", (F.col("alone") + F.col("at")).alias("i"))
+    lists = common.cut(viable.select(F.col("x.v").alias("v"), "rep", "n", (F.col("alone") + F.col("at")).alias("i")), "lists")
+    common.discard(shared)
+    return lists
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 64, short: int = 24, wide: int = 1024, leaders: int = 4) -> DataFrame:
@@ -240,7 +245,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     classes = common.cut(classes_of(full), "classes")
     sketched = common.cut(full.drop("sketch"), "sets")
     common.discard(full)
-    lists = common.cut(rare_lists(classes.select("rep", "n", "sketch"), bounds), "lists")
+    lists = rare_lists(classes.select("rep", "n", "sketch"), bounds)
+    common.let_go(docs.sparkSession)
     search = _Search(classes.select("rep", "n", "sketch"), docs, width, bounds)
 
     search.stars(lists, bounds, 1)
@@ -251,7 +257,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     hot = long.join(open_lists, "v", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
     with common.small_batches(docs.sparkSession):
         again = common.cut(sketches(docs.join(hot, "doc_id", "left_semi"), width, wide).select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sketch"), "wide")
-    lists = common.cut(rare_lists(again, wider), "lists")
+    common.discard(lists)
+    lists = rare_lists(again, wider)
+    common.let_go(docs.sparkSession)
     if lists.limit(1).count():
         search.stars(lists, wider, leaders)
         search.rest(lists, wider)

@@ -407,6 +407,18 @@ def test_near_hot_group(spark):
         assert got == want
 
 
+def test_near_leaves_no_steps(spark):
+    """Counts of values and labelled lists are deleted as soon as nothing reads them."""
+    from pathlib import Path
+
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    steps = lambda: {x.name for kind in ("shared", "labelled") for x in folder.glob(f"quire-{kind}-*")}
+    before = steps()
+    frame = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(40 + i % 2))) for i in range(6)], "doc_id long, text string")
+    assert {r.component_id for r in near.near_duplicates(frame, 2).collect()} == {0}
+    assert steps() == before
+
+
 def test_near_bounds():
     assert near.least_shared(40, 100) == 40 and near.least_shared(64, 80) < 0.8 * 64
     # The chance to share fewer values is small whatever the similarity and the size of the sketch.
