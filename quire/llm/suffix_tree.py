@@ -18,8 +18,9 @@ seen m times adds 1/m of what the pair counts for once.  Distinct contexts go ou
 contexts adds them up and answers for those it keeps.  A page sends a key once at most, so that a common one
 is as many entries as there are pages.  Only tokens whose next symbol was seen twice after the context's
 suffix make pairs, and only where the count of the words before, known from the depth above, reaches
-``least_context``.  A page keeps places only for tokens whose context was kept; the others have their
-probability.  Depths end when no context of the last one was kept.
+``least_context``.  A page keeps places only for tokens whose context was kept and that can have a longer one;
+the others have their probability.  Of its texts it keeps the stretches that such longer contexts can reach
+(``Page.left``), so that a deep pass reads what is still open and not the corpus.  Depths end when no token is open.
 
 Null texts count as empty (one token, the end).  Documents of any length are scored whole; repeated rows
 are scored and counted like any other, ties cannot arise.  With nothing to learn from all counts are zero;
@@ -45,6 +46,8 @@ PAGE = 3 << 19
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 #: The count from which a next symbol has its own probability.
 LEAST_NEXT = 2
+#: The place of the first token of a stretch that is cut: no context that is asked for goes beyond.
+FAR = 1 << 32
 #: What a pair takes on its way to a bucket, with room for its sort there.
 PAIR_BYTES = 12
 PAGES = "page long, ids binary, held binary, first binary, words binary, tokens binary, sent binary"
@@ -185,15 +188,13 @@ class Tree:
         self.keys, self.logs = keys[order], logs[order]
 
 
-def context_keys(symbol: np.ndarray, first: np.ndarray, depth: int, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """A key of the ``depth`` symbols before every token, or those at ``at``, and whether it has as many (the start counts as one)."""
-    place = np.arange(len(symbol)) - np.repeat(first[:-1], np.diff(first))
-    at = np.arange(len(symbol)) if at is None else at
+def context_keys(symbol: np.ndarray, place: np.ndarray, depth: int, at: np.ndarray) -> np.ndarray:
+    """A key of the ``depth`` symbols before each token at ``at``; before a text (``place`` 0) stands the end."""
     place = place[at]
     key = np.full(len(at), depth, np.uint64)
     for back in range(1, depth + 1):
         key = common.mix(key * SPREAD + np.where(place < back, END, symbol[np.maximum(at - back, 0)]))
-    return key, place >= depth - 1
+    return key
 
 
 def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -211,17 +212,24 @@ def level(n: np.ndarray, least: float) -> np.ndarray:
 
 
 class Page:
-    """A page at one depth: what it asks for, sorted by key, in an order that does not depend on when it asks."""
+    """A page at one depth: what it asks for, sorted by key, in an order that does not depend on when it asks.
+
+    At first it has its texts, later stretches of them; a stretch that is ``cut`` begins after the text does.
+    """
 
     def __init__(self, row: dict, depth: int, below: float, least: float):
-        self.row, self.depth = row, depth
+        self.row, self.depth, self.least = row, depth, least
         self.first = np.frombuffer(row["first"], np.uint32).astype(np.int64)
-        self.words, self.count = np.frombuffer(row["words"], np.uint64), np.frombuffer(row["counts"], "<u8")
+        self.words = np.frombuffer(row["words"], np.uint64)
         tokens, n = _unpacked(row["tokens"], len(self.words)), int(self.first[-1])
-        self.gram = np.frombuffer(row["gram"], "u1")
+        self.tokens, self.gram = tokens, np.frombuffer(row["gram"], "u1")
         if row["live"] is None:
-            self.live, self.q, again = np.arange(n), np.log((self.count + 0.5) / below)[tokens], np.ones(n, bool)
+            count = np.frombuffer(row["counts"], "<u8")
+            self.doc, self.cut, self.ends = np.arange(len(self.first) - 1), np.zeros(len(self.first) - 1, bool), int(level(count[self.words == END], least)[0])
+            self.live, self.q, again = np.arange(n), np.log((count + 0.5) / below)[tokens], np.ones(n, bool)
         else:
+            self.doc, self.ends = np.frombuffer(row["doc"], np.uint32).astype(np.int64), row["ends"]
+            self.cut = np.unpackbits(np.frombuffer(row["cut"], np.uint8), count=len(self.doc)).astype(bool)
             self.live = np.flatnonzero(np.unpackbits(np.frombuffer(row["live"], np.uint8), count=n))
             self.q = np.frombuffer(row["q"], "<f4").astype(np.float64)
             again = np.unpackbits(np.frombuffer(row["again"], np.uint8), count=len(self.live)).astype(bool)
@@ -229,16 +237,15 @@ class Page:
             self.use, self.paired, self.of_pair = (np.zeros(0, np.int64) for _ in range(3))
             self.key, self.pair, self.pair_n = (np.zeros(0, np.uint64) for _ in range(3))
             return
-        place = np.arange(n) - np.repeat(self.first[:-1], np.diff(self.first))
-        enough = place >= depth - 1
+        self.place = np.arange(n) - np.repeat(self.first[:-1] - FAR * self.cut, np.diff(self.first))
+        enough = self.place >= depth - 1
         # The words before a token are a context and its next symbol of the depth above, or fewer words: at least as frequent.
-        seen = np.append(np.uint8(0), self.gram[:-1])
-        seen[self.first[:-1]] = level(self.count[self.words == END], least)[0]
+        seen = self.before(self.gram)
         self.gram = np.where((seen > 0) | ~enough, self.gram, np.uint8(0))
         self.use = np.flatnonzero((enough & (seen > 0))[self.live])  # of the live ones
         at = self.live[self.use]
-        self.key, _ = context_keys(self.words[tokens], self.first, depth, at)
-        self.trained = np.repeat(~np.frombuffer(row["held"], bool), np.diff(self.first))[at]
+        self.key = context_keys(self.words[tokens], self.place, depth, at)
+        self.trained = np.repeat(~np.frombuffer(row["held"], bool)[self.doc], np.diff(self.first))[at]
         # A next symbol seen less than twice, alone or after the context's suffix, is in no pair seen twice.
         symbol = self.words[tokens[at]]
         self.paired = np.flatnonzero((symbol != ONCE) & (symbol != NEVER) & again[self.use])
@@ -247,6 +254,59 @@ class Page:
         self.pair = pair[found]
         self.pair_n = np.bincount(self.of_pair, self.trained[self.paired], len(found)).astype(np.int64)
 
+    def before(self, gram: np.ndarray) -> np.ndarray:
+        """What ``gram`` has for the token before each; nothing where a stretch is cut."""
+        seen = np.append(np.uint8(0), gram[:-1])
+        seen[self.first[:-1]] = np.where(self.cut, 0, self.ends)
+        return seen
+
+    def spent(self, at: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """The sums of ``q`` at the tokens ``at`` for each document of the page."""
+        return np.bincount(np.repeat(self.doc, np.diff(self.first))[at], q, len(self.row["held"]))
+
+    def left(self, live: np.ndarray, q: np.ndarray, again: np.ndarray, gram: np.ndarray) -> dict:
+        """The page for the next depth, of what the tokens ``live`` with kept contexts can still need.
+
+        A longer context has only words whose own ``gram`` is not zero, but for the ``depth`` words before the
+        first of them: this is the reach of a token.  Tokens without reach are done.
+        """
+        go = (self.before(gram)[live] > 0) & (self.place[live] >= self.depth)
+        done = np.frombuffer(self.row["done"], "<f8") + self.spent(live[~go], q[~go])
+        live, q, again = live[go], q[go], again[go]
+        n, begins = len(gram), np.zeros(len(gram), bool)
+        begins[self.first[:-1]] = True
+        frequent = gram > 0
+        opens = frequent & (begins | ~np.append(False, frequent[:-1]))
+        run = np.cumsum(opens) - 1  # of a frequent token
+        of, starts = run[live - 1], np.flatnonzero(opens)
+        last = np.zeros(len(starts), np.int64)
+        last[of] = live  # in order: the last one of a run stays
+        used = np.flatnonzero(last)
+        stretch = np.repeat(np.arange(len(self.doc)), np.diff(self.first))
+        from_ = np.maximum(starts[used] - self.depth, self.first[:-1][stretch[starts[used]]])
+        keep = np.cumsum(np.bincount(from_, minlength=n + 1) - np.bincount(last[used] + 1, minlength=n + 1))[:n] > 0
+        opens = keep & (begins | ~np.append(False, keep[:-1]))
+        at, tokens = np.flatnonzero(opens), self.tokens[keep]
+        whole = begins[at] & ~self.cut[stretch[at]]
+        new = np.cumsum(keep) - 1
+        known = np.zeros(len(self.words), bool)
+        known[tokens] = True
+        bits = np.zeros(len(tokens), bool)
+        bits[new[live]] = True
+        return {
+            "done": done.tobytes(),
+            "doc": self.doc[stretch[at]].astype("<u4").tobytes(),
+            "first": np.append(new[at], len(tokens)).astype("<u4").tobytes(),
+            "cut": np.packbits(~whole).tobytes(),
+            "words": self.words[known].tobytes(),
+            "tokens": _packed((np.cumsum(known) - 1)[tokens], int(known.sum())),
+            "gram": gram[keep].tobytes(),
+            "live": np.packbits(bits).tobytes(),
+            "again": np.packbits(again).tobytes(),
+            "q": q.astype("<f4").tobytes(),
+            "n_live": len(live),
+        }
+
     def contexts(self) -> np.ndarray:
         """The distinct contexts, sorted; ``of_context`` has each used token's."""
         found, self.of_context = distinct(self.key)
@@ -314,9 +374,9 @@ def _batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-#: What stays, and what a depth changes; both are dealt by page, so that they join without a shuffle.
-FIXED = "page long, ids binary, held binary, first binary, words binary, counts binary, tokens binary, base binary, known binary"
-STATE = "page long, done binary, gram binary, live binary, again binary, q binary, n_live long"
+#: What only the end needs, and what a depth changes; both are dealt by page, so that nothing of them is shuffled.
+FIXED = "page long, ids binary, sizes binary, base binary, known binary"
+STATE = "page long, held binary, done binary, doc binary, first binary, cut binary, words binary, counts binary, tokens binary, gram binary, live binary, again binary, q binary, ends int, n_live long"
 #: Pairs on their way to a bucket, contexts on theirs, and the answers that pages get.
 PAIRS = "bucket int, page long, key binary, n binary"
 CONTEXTS = "bucket int, page long, key binary, n binary, twice binary, sums binary"
@@ -340,7 +400,8 @@ def started(paged: DataFrame, counted: DataFrame, buckets: int, below: float, le
             of = np.where(common_words, np.cumsum(common_words) - 1, len(short) - 1 - (count > 0))
             counts = np.concatenate([count[common_words], [1, 0]]).astype("<u8")
             n = len(tokens)
-            rows.append((row["page"], row["ids"], row["held"], row["first"], short.tobytes(), counts.tobytes(), _packed(of[tokens], len(short)), base.astype("<f8").tobytes(), known.tobytes(), np.zeros(len(base)).tobytes(), gram.tobytes(), None, None, None, n))
+            fixed = (row["page"], row["ids"], np.diff(first).astype("<u4").tobytes(), base.astype("<f8").tobytes(), known.tobytes())
+            rows.append((*fixed, row["held"], np.zeros(len(base)).tobytes(), None, row["first"], None, short.tobytes(), counts.tobytes(), _packed(of[tokens], len(short)), gram.tobytes(), None, None, None, None, n))
         return pa.Table.from_batches([_batch(rows, FIXED + STATE[len("page long") :])])
 
     answers = counted.where("page is not null").select("page", "bucket", "counts")
@@ -348,7 +409,7 @@ def started(paged: DataFrame, counted: DataFrame, buckets: int, below: float, le
     return common.cut_by(found, "page", parts, "state")
 
 
-def deeper(fixed: DataFrame, state: DataFrame, depth: int, buckets: int, below: float, least: float, divergence: float, prior: float, represented: bool, parts: int) -> DataFrame:
+def deeper(state: DataFrame, depth: int, buckets: int, below: float, least: float, divergence: float, prior: float, represented: bool, parts: int) -> DataFrame:
     """The pages with the contexts of one more depth."""
 
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -406,7 +467,10 @@ def deeper(fixed: DataFrame, state: DataFrame, depth: int, buckets: int, below:
         counts, kept = {r["bucket"]: r["n"] for r in answers if r["hit"] is None}, {r["bucket"]: r for r in answers if r["hit"] is not None}
         for row in left.to_pylist():
             p = Page(row, depth, below, least)
-            q, gram, doc = p.q.copy(), p.gram.copy(), np.repeat(np.arange(len(p.first) - 1), np.diff(p.first))
+            if not len(p.live):
+                rows.append(tuple(row[c] for c in names))
+                continue
+            q, gram = p.q.copy(), p.gram.copy()
             alive, again = np.zeros(len(p.live), bool), np.zeros(len(p.live), bool)
             if len(p.use):
                 n, key = p.counted(counts, buckets), p.contexts()
@@ -421,13 +485,12 @@ def deeper(fixed: DataFrame, state: DataFrame, depth: int, buckets: int, below:
                 q[p.use] = np.where(total > 0, own, below_q)
                 gram[p.live[p.use]] = level(n, least)
                 alive[p.use], again[p.use] = total > 0, n >= LEAST_NEXT
-            done = np.frombuffer(row["done"], "<f8") + np.bincount(doc[p.live[~alive]], q[~alive], len(p.first) - 1)
-            live = np.zeros(len(gram), bool)
-            live[p.live[alive]] = True
-            rows.append((row["page"], done.tobytes(), gram.tobytes(), np.packbits(live).tobytes(), np.packbits(again[alive]).tobytes(), q[alive].astype("<f4").tobytes(), int(alive.sum())))
+            row["done"] = (np.frombuffer(row["done"], "<f8") + p.spent(p.live[~alive], q[~alive])).tobytes()
+            row |= p.left(p.live[alive], q[alive], again[alive], gram) | {"counts": None, "ends": p.ends}
+            rows.append(tuple(row[c] for c in names))
         return pa.Table.from_batches([_batch(rows, STATE)])
 
-    state = fixed.join(state, "page")
+    names = [x.split(" ")[0] for x in STATE.split(", ")]
     by_page = state.groupBy("page")
     counts = common.cut(state.where("n_live > 0").mapInArrow(paired, PAIRS).groupBy("bucket").applyInArrow(added, ANSWER), "counts")
     common.let_go(state.sparkSession)  # the shuffle of the pairs
@@ -472,7 +535,7 @@ def suffix_tree_scores(docs: DataFrame, held: str = "held_out", least_context: f
             break
         deep += 1
         with common.small_batches(docs.sparkSession, 8):  # pages are rows of more than 1 MB
-            last, state = state, deeper(fixed, state, deep, max(1, math.ceil(live * PAIR_BYTES / bucket_bytes)), below, least, divergence, prior, represented, parts)
+            last, state = state, deeper(state, deep, max(1, math.ceil(live * PAIR_BYTES / bucket_bytes)), below, least, divergence, prior, represented, parts)
         if deep > 1:
             common.discard(last)
 
@@ -482,10 +545,9 @@ def suffix_tree_scores(docs: DataFrame, held: str = "held_out", least_context: f
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 p = Page(row, 0, below, least)
-                doc = np.repeat(np.arange(len(p.first) - 1), np.diff(p.first))
-                score = np.frombuffer(row["done"], "<f8") + np.bincount(doc[p.live], p.q, len(p.first) - 1)
-                ids, fold, known, base = (np.frombuffer(row[c], kind) for c, kind in (("ids", np.int64), ("held", bool), ("known", "<u4"), ("base", "<f8")))
-                columns = [ids, fold, np.diff(p.first), known, np.full(len(ids), n_all), base / math.log(10), score / math.log(10)]
+                score = np.frombuffer(row["done"], "<f8") + p.spent(p.live, p.q)
+                ids, fold, sizes, known, base = (np.frombuffer(row[c], kind) for c, kind in (("ids", np.int64), ("held", bool), ("sizes", "<u4"), ("known", "<u4"), ("base", "<f8")))
+                columns = [ids, fold, sizes, known, np.full(len(ids), n_all), base / math.log(10), score / math.log(10)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     return common.restored(fixed.join(state, "page").mapInArrow(scored, SCORES))

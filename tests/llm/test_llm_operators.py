@@ -345,6 +345,46 @@ def test_suffix_tree_sums_of_pages():
     assert all(suffix_tree._read_whole(suffix_tree._whole(x), len(x)).tolist() == x.tolist() for x in (counts, counts[:3], counts[:0]))
 
 
+def test_suffix_tree_pages_shrink():
+    """A page keeps the stretches that open tokens can reach; it asks there for what the whole page would ask for."""
+    rng = np.random.default_rng(6)
+    texts = [np.append(np.where(rng.random(300) < 0.6, rng.integers(3, 5, 300), rng.integers(5, 400, 300)), 0) for _ in range(6)]
+    tokens, least = np.concatenate(texts), 8.0
+    words = np.concatenate([np.arange(3), np.arange(10, 407)]).astype(np.uint64)
+    count = np.bincount(tokens, minlength=400)
+    below, first = count.sum() + 0.5 * 401, np.cumsum([0, *map(len, texts)]).astype("<u4")
+    fixed = {"page": 0, "first": first.tobytes(), "words": words.tobytes(), "counts": count.astype("<u8").tobytes(), "tokens": suffix_tree._packed(tokens, 400), "gram": suffix_tree.level(count, least)[tokens].tobytes(), "held": bytes(6), "done": bytes(48)}
+    whole = fixed | {"live": None}
+    slim, sizes, asked = whole, [], []
+    for depth in range(1, 5):
+        p, s = suffix_tree.Page(whole, depth, below, least), suffix_tree.Page(slim, depth, below, least)
+        assert (s.key.tolist(), s.pair.tolist(), s.pair_n.tolist()) == (p.key.tolist(), p.pair.tolist(), p.pair_n.tolist())
+        sizes.append(len(s.tokens))
+        asked.append(len(s.use))
+        for x in (p, s):
+            seen = Counter(x.key.tolist())
+            pairs = dict(zip(x.pair.tolist(), x.pair_n.tolist()))
+            n = np.zeros(len(x.use), np.int64)
+            n[x.paired] = [pairs[y] for y in x.pair[x.of_pair].tolist()]
+            hit = np.array([seen[y] >= least for y in x.key.tolist()], bool)
+            gram = x.gram.copy()
+            gram[x.live[x.use]] = suffix_tree.level(n, least)
+            live, q, again = x.live[x.use][hit], x.q[x.use][hit], (n >= 2)[hit]
+            if x is s:
+                gone = np.setdiff1d(np.arange(len(x.live)), x.use[hit])
+                now = x.row | {"done": (np.frombuffer(x.row["done"], "<f8") + x.spent(x.live[gone], x.q[gone])).tobytes(), "ends": x.ends, "counts": None}
+                x.row = now
+                slim = now | x.left(live, q, again, gram)
+            else:
+                bits = np.zeros(len(gram), bool)
+                bits[live] = True
+                whole = fixed | {"live": np.packbits(bits).tobytes(), "doc": np.arange(6, dtype="<u4").tobytes(), "cut": bytes(1), "ends": x.ends, "q": q.astype("<f4").tobytes(), "again": np.packbits(again).tobytes(), "gram": gram.tobytes()}
+        end = suffix_tree.Page(slim, 0, below, least)
+        q = np.log((count + 0.5) / below)
+        assert np.frombuffer(slim["done"], "<f8") + end.spent(end.live, end.q) == pytest.approx([q[x].sum() for x in texts])
+    assert asked[3] > 0 and sizes[0] == len(tokens) and sizes[1] < 0.7 * sizes[0] and sizes[3] < 0.4 * sizes[0]
+
+
 def test_tree_is_a_distribution():
     """The next-symbol probabilities of every state sum to one, whatever was kept."""
     rng = np.random.default_rng(1)
