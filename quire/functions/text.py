@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -16,7 +17,12 @@ WORD = r"[\p{L}\p{N}_]"
 
 def strip(c: Column) -> Column:
     """Without white space of any kind at either end."""
-    return F.regexp_replace(F.regexp_replace(c, r"(?U)^\s+", ""), r"(?U)\s+$", "")
+    return F.regexp_extract(c, r"(?sU)^\s*+(.*\S)", 1)  # one pass from either end, however many spaces lie between
+
+
+def is_blank(c: Column) -> Column:
+    """Whether nothing but white space of any kind is there; null for null."""
+    return ~c.rlike(r"(?U)\S")
 
 
 def expand_ligatures(c: Column, table: dict[str, str] = K.LIGATURES) -> Column:
@@ -126,16 +132,33 @@ def normalise_ascii(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(c), "[^0-9a-zÀ-ɏ㐀-鿿]+", " "))
 
 
-@F.pandas_udf(StringType())
-def normalise(titles: pd.Series) -> pd.Series:
+class _Points(dict):
+    """What becomes of each code point, worked out when it is first met."""
+
+    def __init__(self, of: Callable[[str], str | None]) -> None:
+        self.of = of
+
+    def __missing__(self, point: int) -> str | None:
+        self[point] = found = self.of(chr(point))
+        return found
+
+
+_UNMARKED = _Points(lambda x: None if unicodedata.combining(x) else x)
+_LETTERS = _Points(lambda x: x if x.isdigit() and x.isascii() or "a" <= x <= "z" or "À" <= x <= "ɏ" or "㐀" <= x <= "鿿" else " ")
+
+
+def normalised(s: str | None) -> str:
     """NFKD without combining marks, NFKC, casefold, other runs to one space; cut at NUL."""
+    s = (s or "").split("\0")[0]
+    if not s.isascii():
+        s = unicodedata.normalize("NFKC", unicodedata.normalize("NFKD", s).translate(_UNMARKED))
+    return " ".join(s.casefold().translate(_LETTERS).split())
 
-    def one(s: str | None) -> str:
-        s = "".join(x for x in unicodedata.normalize("NFKD", (s or "").split("\0")[0]) if not unicodedata.combining(x))
-        s = unicodedata.normalize("NFKC", s).casefold()
-        return " ".join("".join(x if x.isdigit() and x.isascii() or "a" <= x <= "z" or "À" <= x <= "ɏ" or "㐀" <= x <= "鿿" else " " for x in s).split())
 
-    return titles.map(one)
+@F.arrow_udf(StringType())
+def normalise(titles: pa.Array) -> pa.Array:
+    """``normalised`` of each title."""
+    return pa.array((normalised(s.as_py()) for s in titles), pa.string(), size=len(titles))
 
 
 def kind_of(normalised: Column) -> Column:
