@@ -2,12 +2,70 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire import constants as K
 
 PAGE = ["book", "page"]
+PAIRS_AT_ONCE, PAGES_AT_ONCE = 1 << 20, 512
+
+
+def _by_page(rows: DataFrame, order: str, least: int, out: list[str], found: Callable[[np.ndarray, dict[str, pa.Array]], tuple[np.ndarray, dict[str, np.ndarray]]]) -> DataFrame:
+    """(book, page, further columns of ``out``) from pages of ``least`` rows or more, many whole pages at a time.
+
+    Rows are dealt by page once and come in the order of ``order``; rows of a page that a batch cuts wait for
+    the next.  ``found`` gets the first row of every page (and the end) and the columns, and gives the page of
+    each result and its columns.
+    """
+    sized = rows.where("book is not null and page is not null").withColumn("_n", F.count("*").over(Window.partitionBy(*PAGE).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).where(F.col("_n") >= least)
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    schema = ", ".join([f"{c} {kinds[c]}" for c in PAGE] + out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        missing = 0  # rows of the cut page that are still to come
+        for batch in batches:
+            n = batch["_n"].to_numpy(zero_copy_only=False)
+            at = min(missing, len(n))
+            missing -= at
+            if missing == 0:
+                if at and waiting:
+                    waiting.append(batch.slice(0, at))
+                    yield from whole(waiting)
+                    waiting, batch, n = [], batch.slice(at), n[at:]
+                end = 0
+                while end < len(n) and end + n[end] <= len(n):
+                    end += int(n[end])
+                if end:
+                    yield from whole([batch.slice(0, end)])
+                if end < len(n):
+                    waiting, missing = [batch.slice(end)], int(n[end]) - (len(n) - end)
+            else:
+                waiting.append(batch)
+
+    def whole(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(parts).combine_chunks()
+        columns = {c: table[c].combine_chunks() if isinstance(table[c], pa.ChunkedArray) else table[c] for c in table.column_names}
+        n, starts = columns["_n"].to_numpy(zero_copy_only=False), [0]
+        while starts[-1] < len(n):
+            starts.append(starts[-1] + int(n[starts[-1]]))
+        first = np.array(starts)
+        of, made = found(first, columns)
+        if len(of):
+            where = pa.array(first[:-1][of])
+            yield pa.RecordBatch.from_arrays([columns[c].take(where) for c in PAGE] + [pa.array(x) for x in made.values()], names=PAGE + list(made))
+
+    return sized.mapInArrow(run, schema)
+
+
+def _floats(x: pa.Array) -> np.ndarray:
+    """As doubles; NaN for null."""
+    return x.cast(pa.float64()).to_numpy(zero_copy_only=False).astype(np.float64)
 
 
 def column_order(boxes: DataFrame, least: int = 4) -> DataFrame:
@@ -68,19 +126,55 @@ def ocr_gutter(boxes: DataFrame, least: int = 4) -> DataFrame:
 
     ``boxes``: book, page, x0, x1, n_chars, page_w.
     """
-    size = boxes.groupBy(*PAGE).agg(F.count("*").alias("n"), F.first("page_w").alias("w")).where(F.col("n") >= least)
-    steps = size.select(*PAGE, "n", "w", F.explode(F.sequence(F.lit(0), F.lit(200))).alias("i")).withColumn("x", F.col("w") * 0.25 + F.col("w") * 0.0025 * F.col("i")).where("x <= w * 0.75")
-    met = steps.join(boxes.select(*PAGE, "x0", "x1", "n_chars"), PAGE)
-    cross = (F.col("x0") < F.col("x")) & (F.col("x") < F.col("x1"))
-    lighter = F.least(F.sum(F.when(F.col("x1") <= F.col("x"), F.col("n_chars")).otherwise(0)), F.sum(F.when(F.col("x0") >= F.col("x"), F.col("n_chars")).otherwise(0)))
-    by = met.groupBy(*PAGE, "i", "x", "n", "w").agg(F.count_if(cross).alias("crossers"), F.count_if(cross & (F.col("x1") - F.col("x0") < F.col("w") * 0.30)).alias("narrow"), lighter.alias("lighter"))
-    ok = by.where(F.col("crossers") <= F.col("n") * 0.15)
-    best = F.min(F.struct("narrow", (-F.col("lighter")).alias("l"))).over(Window.partitionBy(*PAGE))
-    top = ok.withColumn("best", best).where("narrow = best.narrow and -lighter = best.l").withColumn("run", F.col("i") - F.row_number().over(Window.partitionBy(*PAGE).orderBy("i")))
-    runs = top.groupBy(*PAGE, "run", "w").agg(((F.min("x") + F.max("x")) / 2).alias("gutter"))
-    chosen = runs.groupBy(*PAGE).agg(F.min_by("gutter", F.struct(F.abs(F.col("gutter") - F.col("w") / 2), "run")).alias("gutter"))
-    sides = chosen.join(boxes, PAGE).groupBy(*PAGE, "gutter").agg(F.count_if(F.col("x1") <= F.col("gutter")).alias("l"), F.count_if(F.col("x0") >= F.col("gutter")).alias("r"))
-    return sides.where((F.col("l") >= K.COLUMN_LINES) & (F.col("r") >= K.COLUMN_LINES)).select(*PAGE, "gutter")
+    given = boxes.select(*PAGE, *[F.col(c).cast("double").alias(c) for c in ("x0", "x1", "page_w")], F.col("n_chars").cast("long").alias("n_chars"))
+
+    def found(first: np.ndarray, columns: dict[str, pa.Array]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+        x0, x1, page_w = (_floats(columns[c]) for c in ("x0", "x1", "page_w"))
+        some0, some1 = (columns[c].is_valid().to_numpy(zero_copy_only=False) for c in ("x0", "x1"))
+        chars = columns["n_chars"].fill_null(0).to_numpy(zero_copy_only=False)
+        n, of, gutters = np.diff(first), [], []
+        width = page_w[first[:-1]]
+        for w in np.unique(width[~np.isnan(width)]):
+            x = w * 0.25 + w * 0.0025 * np.arange(201)
+            x = x[x <= w * 0.75]
+            same = np.flatnonzero(width == w)
+            for pages in np.split(same, np.arange(PAGES_AT_ONCE, len(same), PAGES_AT_ONCE)) if len(x) else ():
+                # The boxes of these pages, and the place of each one's page among them.
+                size = n[pages]
+                box = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size - first[:-1][pages], size)
+                at, a, b, c, has_a, has_b = np.repeat(np.arange(len(pages)), size), x0[box], x1[box], chars[box], some0[box], some1[box]
+                # Steps that a box crosses or leaves to one side are ranges; sums over boxes are running sums of their ends.
+                starts, stops = np.searchsorted(x, a, "right"), np.searchsorted(x, b, "left")
+                upto = lambda place, who, weight: _running(at[who], place[who], weight[who], len(pages), len(x))  # noqa: B023, E731
+                over = lambda who: upto(starts, who, np.ones_like(c)) - upto(stops, who, np.ones_like(c))  # noqa: B023, E731
+                crosses = has_a & has_b & (starts < stops)
+                right = _running(at[has_a], np.zeros_like(at[has_a]), c[has_a], len(pages), len(x)) - upto(starts, has_a, c)
+                narrow, lighter = over(crosses & (b - a < w * 0.30)), np.minimum(upto(stops, has_b, c), right)
+                top = over(crosses) <= size[:, None] * 0.15
+                top &= narrow == np.where(top, narrow, np.iinfo(np.int64).max).min(axis=1, keepdims=True)
+                top &= lighter == np.where(top, lighter, np.iinfo(np.int64).min).max(axis=1, keepdims=True)
+                # Runs of steps that are equally good; the one with its middle nearest to the page's, the left one of two.
+                edge = np.diff(np.pad(top, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+                (row, begin), (_, end) = np.nonzero(edge == 1), np.nonzero(edge == -1)
+                middle = (x[begin] + x[end - 1]) / 2
+                by = np.lexsort((begin, np.abs(middle - w / 2), row))
+                by = by[np.diff(row[by], prepend=-1) > 0]
+                gutter = np.full(len(pages), np.nan)
+                gutter[row[by]] = middle[by]
+                sides = [np.bincount(at[who], minlength=len(pages)) for who in (has_b & (b <= gutter[at]), has_a & (a >= gutter[at]))]
+                good = np.flatnonzero((sides[0] >= K.COLUMN_LINES) & (sides[1] >= K.COLUMN_LINES))
+                of.append(pages[good])
+                gutters.append(gutter[good])
+        return np.concatenate([np.zeros(0, np.int64), *of]), {"gutter": np.concatenate([np.zeros(0), *gutters])}
+
+    return _by_page(given, "x0", least, ["gutter double"], found)
+
+
+def _running(row: np.ndarray, place: np.ndarray, weight: np.ndarray, rows: int, places: int) -> np.ndarray:
+    """For each row, at each place, the sum of the weights up to there."""
+    out = np.zeros((rows, places + 1), np.int64)
+    np.add.at(out, (row, place), weight)
+    return np.cumsum(out, axis=1)[:, :-1]
 
 
 def is_decoration(x0: Column, y0: Column, x1: Column, y1: Column, page_w: Column, page_h: Column) -> Column:
