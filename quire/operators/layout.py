@@ -108,17 +108,48 @@ def runin_pairs(lines: DataFrame, tolerance: float = 1.5, gap: float = 0.04, lea
     further cell to its right, or with two terms, is left alone, and so are pages with fewer than ``least``
     pairs out of order.
     """
-    # Lines meet on baselines in cells of the tolerance; neighbours are looked up in three cells.
-    cell = F.floor(F.col("base") / tolerance)
-    a = lines.select(*PAGE, F.col("ord").alias("term"), F.col("x1").alias("tx1"), F.col("base").alias("tb"), "bold_all", F.col("upright").alias("tu"), "page_w", F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"))
-    b = lines.select(*PAGE, F.col("ord").alias("definition"), F.col("x0").alias("dx0"), F.col("base").alias("db"), "bold_start", F.col("upright").alias("du"), cell.alias("cell"))
-    right = a.join(b, [*PAGE, "cell"]).where((F.col("term") != F.col("definition")) & (F.abs(F.col("tb") - F.col("db")) <= tolerance) & (F.col("dx0") - F.col("tx1")).between(-1.0, F.col("page_w") * gap))
-    followed = right.select(*PAGE, F.col("term").alias("definition")).distinct()
-    fit = right.where("bold_all and not bold_start and tu and du")
-    nearest = fit.groupBy(*PAGE, "term").agg(F.min_by("definition", F.struct(F.col("dx0") - F.col("tx1"), "definition")).alias("definition"))
-    single = nearest.join(followed, [*PAGE, "definition"], "left_anti").withColumn("n", F.count("*").over(Window.partitionBy(*PAGE, "definition"))).where("n = 1")
-    apart = (F.col("definition") != F.col("term") + 1).cast("int")
-    return single.withColumn("apart", apart).withColumn("enough", F.sum("apart").over(Window.partitionBy(*PAGE)) >= least).where("enough and apart = 1").select(*PAGE, "term", "definition")
+    needed = ["ord", "x0", "x1", "base", "bold_all", "bold_start", "upright", "page_w"]
+    given = lines.select(*PAGE, F.col("ord").cast("long").alias("ord"), *[F.col(c).cast("double").alias(c) for c in ("x0", "x1", "base", "page_w")], *needed[4:7]).where("ord is not null and abs(base) < double('Infinity')")
+
+    def found(first: np.ndarray, columns: dict[str, pa.Array]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+        n = int(first[-1])
+        page = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        ord_ = columns["ord"].to_numpy(zero_copy_only=False)
+        x0, x1, base, wide = (_floats(columns[c]) for c in ("x0", "x1", "base", "page_w"))
+        bold, starts_bold, upright = (columns[c].fill_null(missing).to_numpy(zero_copy_only=False).astype(bool) for c, missing in (("bold_all", False), ("bold_start", True), ("upright", False)))
+        # Neighbours on a baseline are a range of rows: those of the page with a base within the tolerance.
+        low, high = np.empty(n, np.int64), np.empty(n, np.int64)
+        for a, b in zip(first[:-1], first[1:]):
+            slack = tolerance + 1e-9 * (1 + np.abs(base[a:b]).max())
+            low[a:b], high[a:b] = a + np.searchsorted(base[a:b], base[a:b] - slack, "left"), a + np.searchsorted(base[a:b], base[a:b] + slack, "right")
+        followed, nearest = np.zeros(n, bool), np.full(n, -1, np.int64)
+        ends = np.cumsum(high - low)
+        a = 0
+        while a < n:  # rows whose neighbours fit in a slice, one at least
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + PAIRS_AT_ONCE, "right")))
+            size = high[a:b] - low[a:b]
+            term = np.repeat(np.arange(a, b), size)
+            other = np.arange(len(term)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(low[a:b], size)
+            apart = x0[other] - x1[term]
+            near = (ord_[term] != ord_[other]) & (np.abs(base[term] - base[other]) <= tolerance) & (apart >= -1.0) & (apart <= wide[term] * gap)
+            followed[term[near]] = True
+            fit = near & bold[term] & ~starts_bold[other] & upright[term] & upright[other]
+            t, d, x = term[fit], other[fit], apart[fit]
+            by = np.lexsort((ord_[d], x, t))
+            t, d = t[by], d[by]
+            once = np.ones(len(t), bool)
+            once[1:] = t[1:] != t[:-1]
+            nearest[t[once]] = d[once]
+            a = b
+        term = np.flatnonzero(nearest >= 0)
+        term = term[~followed[nearest[term]]]
+        term = term[np.bincount(nearest[term], minlength=n)[nearest[term]] == 1]
+        term = term[ord_[nearest[term]] != ord_[term] + 1]
+        enough = np.bincount(page[term], minlength=len(first)) >= least
+        term = term[enough[page[term]]]
+        return page[term], {"term": ord_[term], "definition": ord_[nearest[term]]}
+
+    return _by_page(given, "base", 2, ["term long", "definition long"], found)
 
 
 def ocr_gutter(boxes: DataFrame, least: int = 4) -> DataFrame:
