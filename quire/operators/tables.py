@@ -17,7 +17,7 @@ def clean_rows(rows: Column) -> Column:
 
 
 def filled(row: Column) -> Column:
-    return F.filter(row, lambda c: T.strip(F.coalesce(c, F.lit(""))) != "")
+    return F.filter(row, lambda c: ~T.is_blank(c))
 
 
 def is_spanned_header(row: Column) -> Column:
@@ -65,7 +65,7 @@ def render(rows: Column, options: Options = Options()) -> Column:
 
 def content_columns(rows: Column) -> Column:
     """How many column positions hold content in some row."""
-    at = F.flatten(F.transform(rows, lambda r: F.filter(F.transform(r, lambda c, i: F.when(T.strip(c) != "", i)), lambda i: i.isNotNull())))
+    at = F.flatten(F.transform(rows, lambda r: F.filter(F.transform(r, lambda c, i: F.when(~T.is_blank(c), i)), lambda i: i.isNotNull())))
     return F.size(F.array_distinct(at))
 
 
@@ -135,16 +135,18 @@ def demote(rows: Column) -> Column:
 
 def ragged_rows(rows: Column) -> Column:
     """Indexes of rows whose number of filled cells is not the commonest (the first seen, if several are)."""
-    counts = F.transform(rows, lambda r: F.size(filled(r)))
-    times = F.transform(counts, lambda n, i: F.struct(F.size(F.filter(counts, lambda m: m == n)).alias("times"), (-i).alias("first"), n.alias("n")))
-    mode = F.array_max(times)["n"]
-    return F.when(F.size(rows) >= 2, F.filter(F.transform(counts, lambda n, i: F.when(n != mode, i)), lambda i: i.isNotNull())).otherwise(F.array().cast("array<int>"))
+
+    def other(counts: Column) -> Column:
+        times = F.transform(F.array_distinct(counts), lambda n: F.struct(F.size(F.filter(counts, lambda m: m == n)).alias("times"), (-F.array_position(counts, n)).alias("first"), n.alias("n")))
+        return _bound(F.array_max(times)["n"], lambda mode: F.filter(F.transform(counts, lambda n, i: F.when(n != mode, i)), lambda i: i.isNotNull()))
+
+    return F.when(F.size(rows) >= 2, _bound(F.transform(rows, lambda r: F.size(filled(r))), other)).otherwise(F.array().cast("array<int>"))
 
 
 def empty_first_cells(rows: Column, header: Column | None = None) -> Column:
     """Indexes of data rows without a label but with later values."""
     start = F.coalesce(header + 1, F.lit(1)) if header is not None else F.lit(1)
-    bad = lambda r, i: (i >= start) & (F.size(r) > 0) & (T.strip(F.coalesce(F.get(r, F.lit(0)), F.lit(""))) == "") & (F.size(filled(r)) > 0)
+    bad = lambda r, i: (i >= start) & (F.size(r) > 0) & T.is_blank(F.coalesce(F.get(r, F.lit(0)), F.lit(""))) & (F.size(filled(r)) > 0)
     return F.filter(F.transform(rows, lambda r, i: F.when(bad(r, i), i)), lambda i: i.isNotNull())
 
 
@@ -163,6 +165,23 @@ def multi_values(frame: DataFrame, key: str = "t", rows: str = "rows") -> DataFr
     return by.where("single >= 2 and bad > 0").groupBy(key).agg(F.sum("bad").alias("hits"))
 
 
+def multi_value_hits(rows: Column) -> Column:
+    """As ``multi_values``, of one table: its rows are looked through once, without a row for each cell."""
+
+    def kind(c: Column) -> Column:
+        numeric = F.filter(F.split(c, r"\s+"), lambda t: F.regexp_replace(t, "^[,;]+|[,;]+$", "").rlike(K.NUMERIC_TOKEN))
+        return F.when(c.rlike(K.NUMERIC_TOKEN), 1).when(c.rlike(r"\d") & (F.size(numeric) > 1), 2).otherwise(0)
+
+    def hits(kinds: Column) -> Column:
+        def of(j: Column) -> Column:
+            column = F.transform(kinds, lambda r: F.get(r, j))
+            return _bound(column, lambda k: F.when(F.size(F.filter(k, lambda x: x == 1)) >= 2, F.size(F.filter(k, lambda x: x == 2))).otherwise(0))
+
+        return F.aggregate(F.transform(F.sequence(F.lit(0), F.greatest(column_count(kinds), F.lit(1)) - 1), of), F.lit(0).cast("long"), lambda n, x: n + x)
+
+    return _bound(F.transform(rows, lambda r: F.transform(r, lambda c: _bound(T.strip(F.coalesce(c, F.lit(""))), kind))), hits)
+
+
 def grid(cells: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, row, col, text): every position a cell's span covers; a later cell (``ord``) overwrites an earlier one.
 

@@ -101,8 +101,7 @@ def table_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = I.tables(spark, sf_dir)
     rows = F.col("rows")
-    joined = t.join(B.multi_values(t), "t", "left")
-    return joined.select("t", F.array_join(B.ragged_rows(rows), ",").alias("ragged"), F.array_join(B.empty_first_cells(rows), ",").alias("unlabelled"), B.run_together_cells(rows).cast("long").alias("run_together"), F.coalesce("hits", F.lit(0).cast("long")).alias("multi_values"), (B.column_count(rows) == 1).alias("single_column"))
+    return t.select("t", F.array_join(B.ragged_rows(rows), ",").alias("ragged"), F.array_join(B.empty_first_cells(rows), ",").alias("unlabelled"), B.run_together_cells(rows).cast("long").alias("run_together"), B.multi_value_hits(rows).alias("multi_values"), (B.column_count(rows) == 1).alias("single_column"))
 
 
 def fake_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
