@@ -20,8 +20,15 @@ def convert(pages: DataFrame, found: DataFrame, options: Options = Options()) ->
 
     Tables that are page frames or furniture are left out and counted.
     """
+    both = converted(pages, found, options)
+    return both.select("book", "text"), both.drop("text")
+
+
+def converted(pages: DataFrame, found: DataFrame, options: Options = Options()) -> DataFrame:
+    """The documents and statistics of ``convert`` in one row for each book, made in one pass."""
     c = F.col
-    judged = found.withColumn("md", tables.render(c("rows"), options)).where("md is not null").withColumn(
+    # Exploded, since a condition on a column that is only computed would have it computed twice.
+    judged = found.withColumn("md", F.explode(F.array(tables.render(c("rows"), options)))).where("md is not null").withColumn(
         "reason", F.coalesce(tables.frame_reason(c("rows"), c("x0"), c("top"), c("x1"), c("bottom"), c("page_w"), c("page_h"), options), tables.furniture_reason(c("rows"), c("top"), c("bottom"), c("page_h"), options))
     )
     marked = F.concat(F.lit("**[Table on page "), c("page").cast("string"), F.lit("]**\n"), c("md"))
@@ -29,10 +36,9 @@ def convert(pages: DataFrame, found: DataFrame, options: Options = Options()) ->
     cleaned = T.clean_text(c("text"))
     p = pages.join(by_page, ["book", "page"], "left").select("book", "page", T.annotate_references(cleaned, c("page")).alias("text"), T.reference_count(cleaned).alias("refs"), F.coalesce("tables", F.lit("")).alias("tables"), F.coalesce("kept", F.lit(0)).alias("kept"), F.coalesce("rejected", F.lit(0)).alias("rejected"), F.regexp_count(cleaned, F.lit(r"(?m)^(?:TABLE|Table) *\d+")).alias("captions"))
     part = F.concat(F.lit("<!-- page "), c("page").cast("string"), F.lit(" -->\n"), c("text"), F.when(c("tables") != "", F.concat(F.lit("\n\n"), c("tables"))).otherwise(""))
-    documents = p.groupBy("book").agg(_joined(F.collect_list(F.struct("page", part.alias("s"))), "\n\n").alias("text"))
-    stats = p.groupBy("book").agg(F.count("*").alias("pages"), F.sum("refs").alias("fig_refs"), F.sum("kept").alias("tables"), F.sum("rejected").alias("rejected_tables"), F.sum("captions").alias("table_captions"))
+    both = p.groupBy("book").agg(_joined(F.collect_list(F.struct("page", part.alias("s"))), "\n\n").alias("text"), F.count("*").alias("pages"), F.sum("refs").alias("fig_refs"), F.sum("kept").alias("tables"), F.sum("rejected").alias("rejected_tables"), F.sum("captions").alias("table_captions"))
     few = (c("table_captions") >= K.CAPTIONS_MIN) & (c("tables") < K.TABLE_CAPTION_RATIO * c("table_captions"))
-    return documents, stats.withColumn("few_tables", few if options.book_table_check else F.lit(False))
+    return both.withColumn("few_tables", few if options.book_table_check else F.lit(False))
 
 
 def chapter_files(pages: DataFrame, outline: DataFrame, options: Options = Options()) -> DataFrame:
